@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..session import load
-from . import packing, pii, quality, tokencount
+from . import htmltext, langid, packing, pii, quality, spiece, tokencount, topk
+from .common import remainder
 
 
 def op1_pii(spark, sf_dir):
     return pii.find_pii(load(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark, sf_dir):
+    return spiece.encode(load(spark, sf_dir, "documents"))
+
+
+def op5_language(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    return langid.identify(docs, langid.fit(docs, ~held_out), held_out)
+
+
+def op6_top_k(spark, sf_dir):
+    return topk.top_k(load(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0)
+
+
 def op7_packing(spark, sf_dir):
     return packing.pack(load(spark, sf_dir, "documents"))
 
@@ -22,5 +39,30 @@ def op9_quality(spark, sf_dir):
     return quality.quality(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op7_packing, op8_token_counts, op9_quality)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_html_text(spark, sf_dir):
+    return htmltext.extract(load(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_pii, op3_sentencepiece, op5_language, op6_top_k, op7_packing, op8_token_counts, op9_quality, op10_html_text)
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_top_k": """
+        with v as (
+            select vec_id, [floor(256 * x::double) for x in embedding] as q
+            from embeddings
+            where vec_id is not null and embedding is not null and len(embedding) > 0
+              and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+        ), s as (
+            select a.vec_id as query_id, b.vec_id as vec_id, list_dot_product(a.q, b.q)::bigint as score
+            from v a join v b on a.vec_id <> b.vec_id
+            where a.vec_id % 50 = 0
+        ), r as (
+            select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+            from s
+        )
+        select query_id, rank, vec_id, score from r where rank <= 5
+    """,
+}
