@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import load
-from . import htmltext, langid, packing, pii, quality, spiece, tokencount, topk
+from . import htmltext, langid, neardup, packing, pii, quality, spiece, tokencount, topk
 from .common import remainder
 
 
@@ -17,6 +17,10 @@ def op3_sentencepiece(spark, sf_dir):
     return spiece.encode(load(spark, sf_dir, "documents"))
 
 
+def op4_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(load(spark, sf_dir, "documents")).drop("id")
+
+
 def op5_language(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
     held_out = remainder(F.col("doc_id"), 4) == 2
@@ -45,7 +49,7 @@ def op10_html_text(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op3_sentencepiece, op5_language, op6_top_k, op7_packing, op8_token_counts, op9_quality, op10_html_text)
+    for f in (op1_pii, op3_sentencepiece, op4_near_duplicates, op5_language, op6_top_k, op7_packing, op8_token_counts, op9_quality, op10_html_text)
 }
 
 ORACLE_SQL: dict[str, str] = {
