@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import load
-from . import htmltext, langid, neardup, packing, pii, quality, spiece, tokencount, topk
+from . import htmltext, langid, lmscore, neardup, packing, pii, quality, spiece, tokencount, topk
 from .common import remainder
 
 
@@ -13,6 +13,10 @@ def op1_pii(spark, sf_dir):
     return pii.find_pii(load(spark, sf_dir, "documents"))
 
 
+def op2_lm_scores(spark, sf_dir):
+    return lmscore.score(load(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 10) == 0)
+
+
 def op3_sentencepiece(spark, sf_dir):
     return spiece.encode(load(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_html_text(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op3_sentencepiece, op4_near_duplicates, op5_language, op6_top_k, op7_packing, op8_token_counts, op9_quality, op10_html_text)
+    for f in (op1_pii, op2_lm_scores, op3_sentencepiece, op4_near_duplicates, op5_language, op6_top_k, op7_packing, op8_token_counts, op9_quality, op10_html_text)
 }
 
 ORACLE_SQL: dict[str, str] = {
