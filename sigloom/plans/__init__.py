@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import crawl, discover, validate  # noqa: F401  (they register their queries)
+from .registry import ORACLES, QUERIES
 
 
 def flagship(spark, sf_dir):
-    from ..session import load
+    """Candidates merged by source, ranked, filled up with recent documents."""
+    return QUERIES["q05_topk_fallback"](spark, sf_dir)
 
-    return load(spark, sf_dir, "documents").groupBy("source").count()
+
+__all__ = ["ORACLES", "QUERIES", "flagship"]

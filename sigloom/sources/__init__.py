@@ -1 +1 @@
-
+"""Scans: feeds, documents, requirement sets, state, configuration."""

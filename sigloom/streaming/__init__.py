@@ -1 +1 @@
-
+"""Incremental processing: keyed state over streams."""
