@@ -36,14 +36,15 @@ def feed_type(override, content_type, content) -> Column:
 
 def clamped(x) -> Column:
     """A score within 0 and 1; what isn't a number counts as 0 (NaN, the largest double, as 1)."""
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), _c(x).try_cast("double"))), F.lit(0.0))
+    value = _c(x).try_cast("double")  # least and greatest would skip a null
+    return F.when(value.isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)))
 
 
 def recency_bonus(published, start, end, most: float = 0.1) -> Column:
     """Linear from 0 at the window's start to ``most`` at its end; 0 without a time."""
     s, e = F.unix_micros(start), F.unix_micros(end)
     share = (F.unix_micros(_c(published)) - s) / F.greatest(e - s, F.lit(1_000_000))
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)) * most, F.lit(0.0))
+    return F.when(share.isNull(), 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)) * most)
 
 
 def window_end(day) -> Column:
@@ -66,16 +67,12 @@ def sha256(x) -> Column:
 
 
 def uuid5(namespace: uuid.UUID, key) -> Column:
-    """The name-based UUID (version 5) of a string key."""
+    """The name-based UUID (version 5) of a string key; null for a null key."""
     h = F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), F.encode(_c(key), "utf-8")))
     variant = F.lower(F.hex(F.conv(F.substring(h, 17, 1), 16, 10).cast("int").bitwiseAND(F.lit(3)).bitwiseOR(F.lit(8))))
-    return F.concat_ws(
-        "-",
-        F.substring(h, 1, 8),
-        F.substring(h, 9, 4),
-        F.concat(F.lit("5"), F.substring(h, 14, 3)),
-        F.concat(variant, F.substring(h, 18, 3)),
-        F.substring(h, 21, 12),
+    dash = F.lit("-")
+    return F.concat(
+        F.substring(h, 1, 8), dash, F.substring(h, 9, 4), dash, F.lit("5"), F.substring(h, 14, 3), dash, variant, F.substring(h, 18, 3), dash, F.substring(h, 21, 12)
     )
 
 

@@ -24,7 +24,7 @@ def latest_by_key(stream: DataFrame, key: str, at: str, content: str, delay: str
 
     def step(k: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         first, last, content_, versions = state.get if state.exists else (None, None, None, 0)
-        rows = pd.concat(list(frames)).sort_values(["at", "content"], kind="stable")
+        rows = pd.concat([f for f in frames if len(f)]).sort_values(["at", "content"], kind="stable")
         for row_at, row in zip(rows["at"], rows["content"]):
             first = row_at if first is None or row_at < first else first
             if last is None or row_at >= last:
