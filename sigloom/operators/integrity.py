@@ -213,7 +213,7 @@ def check_refs(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def check_attribution(nodes: DataFrame, edges: DataFrame, allowed: DataFrame) -> DataFrame:
     """Attribution and impersonation edges against their matrix; an unknown end's type is its id's prefix."""
-    n = nodes.select("bundle_id", "id", "type")
+    n = nodes.groupBy("bundle_id", "id").agg(F.min("type").alias("type"))  # an id that occurs twice is another rule's finding
     side = lambda ref, name: n.select("bundle_id", F.col("id").alias(ref), F.col("type").alias(name))
     typed = (
         edges.where(F.col("relationship_type").isin("attributed-to", "impersonates"))

@@ -155,23 +155,11 @@ def load_catalog(spark: SparkSession, yaml_text: str) -> DataFrame:
 
 def load_pirs(raw: DataFrame, value: str = "value") -> DataFrame:
     """(pir_set_hash, pos, requirement columns) from whole JSON texts; texts without ``pirs`` (bare lists too) give no rows."""
-    envelope = F.from_json(value, f"struct<schema_version:string,pirs:array<struct<{_inline(PIRS)}>>>")
+    pirs = T.ArrayType(T.StructType.fromDDL(PIRS))
+    envelope = F.from_json(value, T.StructType([T.StructField("schema_version", T.StringType()), T.StructField("pirs", pirs)]))
     return raw.select(F.sha2(value, 256).alias("pir_set_hash"), F.posexplode(envelope["pirs"]).alias("pos", "p")).select("pir_set_hash", "pos", "p.*")
 
 
-def _inline(ddl: str) -> str:
-    depth, out, name = 0, [], True
-    for c in ddl:
-        depth += (c == "<") - (c == ">")
-        if c == " " and depth == 0:
-            out.append(":" if name and out and out[-1] != "," else "")
-            name = not name
-        else:
-            out.append(c)
-            name = True if c == "," and depth == 0 else name
-    return "".join(out)
-
-
 def load_state(raw: DataFrame, value: str = "value") -> DataFrame:
     """The state table from its JSON text of version 1; entries without indicators have an empty list."""
     entry = (
