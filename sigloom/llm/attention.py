@@ -172,30 +172,41 @@ class Scorer:
         self.W, self.U, self.c = w["W"], w["U"], w["c"]
         self.mask = _MASK.astype(np.float32)
 
-    def __call__(self, ids: np.ndarray, sizes: np.ndarray, batch: int = 1024) -> np.ndarray:
-        """Natural-log probability of each document."""
+    def __call__(self, ids: np.ndarray, sizes: np.ndarray, batch: int = 192) -> np.ndarray:
+        """Natural-log probability of each document; batches are small enough to stay in the cache."""
         out = np.zeros(len(sizes))
         if not len(ids):
             return out
         pad = len(self.class_of) - 1
         stream, starts, doc = windows(ids, sizes, pad)
+        ones = np.ones(CLASSES, dtype=np.float32)
+        per_window = np.zeros(len(starts))
         for a in range(0, len(starts), batch):
-            tokens = stream[starts[a : a + batch][:, None] + np.arange(WINDOW)]
+            tokens = np.take(stream, starts[a : a + batch, None] + np.arange(WINDOW))
             asking = tokens[:, STEP - 1 : WINDOW - 1]
-            s = np.matmul(self.q[asking] + self.pq, (self.k[tokens] + self.pk).transpose(0, 2, 1))
-            np.clip(s, -60, 60, out=s)
+            k = np.take(self.k, tokens, axis=0)
+            k += self.pk
+            q = np.take(self.q, asking, axis=0)
+            q += self.pq
+            s = np.matmul(q, k.transpose(0, 2, 1))
+            np.minimum(s, 60, out=s)
             np.exp(s, out=s)
             s *= self.mask
-            z = np.matmul(s, self.v[tokens] + self.pv)
-            o = (z[:, :, :DIM] / z[:, :, DIM:]).reshape(-1, DIM) @ self.W
-            o += (self.r[asking] + self.pr).reshape(-1, DIM)
+            v = np.take(self.v, tokens, axis=0)
+            v += self.pv
+            z = np.matmul(s, v)
+            o = (z[:, :, :DIM] * np.reciprocal(z[:, :, DIM:])).reshape(-1, DIM) @ self.W
+            r = np.take(self.r, asking, axis=0)
+            r += self.pr
+            o += r.reshape(-1, DIM)
             logits = np.tanh(o, out=o) @ self.U
             logits += self.c
             target = tokens[:, STEP:].ravel()
-            cls = self.class_of[target]
+            cls = np.take(self.class_of, target)
             live = cls != PAD
             own = logits[np.arange(len(logits)), np.where(live, cls, 0)]
             np.exp(logits, out=logits)
-            value = np.where(live, own - np.log(logits.sum(axis=1)) + self.within[target], 0.0)
-            np.add.at(out, doc[a : a + batch], value.reshape(-1, STEP).sum(axis=1, dtype=np.float64))
+            value = np.where(live, own - np.log(logits @ ones) + np.take(self.within, target), 0.0)
+            per_window[a : a + batch] = value.reshape(-1, STEP).sum(axis=1, dtype=np.float64)
+        np.add.at(out, doc, per_window)
         return out

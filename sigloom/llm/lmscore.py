@@ -39,7 +39,7 @@ from .common import strings, written
 
 CHUNK_CHARS = 24_000_000
 #: Training: one window of WORDS words per PER_WORDS words of a document, STEPS steps per chunk.
-WORDS, PER_WORDS, STEPS = 24, 600, 120
+WORDS, PER_WORDS, STEPS = 24, 600, 100
 
 
 class Subwords:
@@ -165,7 +165,7 @@ def score(
         )
 
     local = written(
-        dealt.repartition(chunks, "chunk").mapInArrow(count, "chunk int, word binary, n bigint, weights array<float>"), "words"
+        dealt.repartitionById(chunks, F.col("chunk")).mapInArrow(count, "chunk int, word binary, n bigint, weights array<float>"), "words"
     )
     same = Window.partitionBy("word")
     counted = written(
@@ -238,9 +238,11 @@ def score(
             }
         )
 
+    # A partition per chunk on both sides: no two chunks ever fall together in one task.
     return (
-        dealt.groupBy("chunk")
-        .cogroup(counted.select("chunk", "word", "c").groupBy("chunk"))
+        dealt.repartitionById(chunks, F.col("chunk"))
+        .groupBy("chunk")
+        .cogroup(counted.select("chunk", "word", "c").repartitionById(chunks, F.col("chunk")).groupBy("chunk"))
         .applyInArrow(
             scored,
             "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
