@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +22,35 @@ def strings(column: pa.Array) -> list[str]:
     return ["" if x is None else x for x in out] if column.null_count else out
 
 
-def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``rows``: what is worked on at once stays small."""
+def spans(lengths: np.ndarray, rows: int, limit: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of at most ``rows`` rows and ``limit`` bytes, or of one row that is larger."""
+    total = np.cumsum(lengths)
+    at = 0
+    while at < len(total):
+        room = limit + (total[at - 1] if at else 0)
+        end = max(at + 1, min(at + rows, int(np.searchsorted(total, room, side="right"))))
+        yield at, end
+        at = end
+
+
+def sizes(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Bytes of each text."""
+    found = pc.fill_null(pc.binary_length(column), 0)
+    return found.to_numpy(zero_copy_only=False) if isinstance(found, pa.Array) else found.to_numpy()
+
+
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256, text: int | None = None, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches: at most ``rows`` rows and ``limit`` bytes of the column ``text``.
+
+    What is worked on at once thus stays small where long texts follow each other too.
+    """
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        if text is None:
+            lengths = np.zeros(batch.num_rows, dtype=np.int64)
+        else:
+            lengths = sizes(batch.column(text)).astype(np.int64)
+        for a, b in spans(lengths, rows, limit):
+            yield batch.slice(a, b - a)
 
 
 def shared_dir(spark: SparkSession) -> str:

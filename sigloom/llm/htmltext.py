@@ -269,7 +269,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """page_id, url, text, n_chars of every row; one map over the table, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, text=2):
             texts = [main_text(h) for h in strings(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

@@ -139,7 +139,7 @@ def fit(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(names), BUCKETS), dtype=np.int64)
-        for batch in pieces(batches):
+        for batch in pieces(batches, text=0):
             langs = np.array([where[x] for x in batch.column(1).to_pylist()])
             buckets, words, owner = features(batch.column(0).to_pylist())
             if len(words):
@@ -158,7 +158,7 @@ def identify(docs: DataFrame, model: Model, held_out: Column, id_col: str = "doc
     """doc_id, held_out, lang_pred, score, languages of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, text=2):
             names, score, sets = model.predict(strings(batch.column(2)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(score), pa.array(sets, pa.string())],
@@ -175,7 +175,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.5, text_col:
     where = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
+        for batch in pieces(batches, text=where):
             names, score, _ = model.predict(strings(batch.column(where)))
             yield batch.filter(pa.array([n != "und" and s >= least for n, s in zip(names, score)], pa.bool_()))
 

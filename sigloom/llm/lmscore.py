@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import attention
-from .common import strings, written
+from .common import sizes, spans, strings, written
 
 CHUNK_CHARS = 24_000_000
 #: Training: one window of WORDS words per PER_WORDS words of a document, STEPS steps per chunk.
@@ -206,14 +206,14 @@ def score(
         names = words["word"].to_pylist()
         c = words["c"].to_numpy().astype(np.float64)
         index = dict(zip(names, range(len(names))))
-        flat, sizes = sub(names)
+        flat, width = sub(names)
         del names
         word_score = np.log10((c + 0.1) / scale)
         known = c > 0
         end_score, end_known = math.log10((n_train + 0.1) / scale), int(n_train > 0)
         tokens, knowns, bases, models = [], [], [], []
-        for a in range(0, docs.num_rows, 256):
-            own = [words_of(t) for t in docs["text"].slice(a, 256).to_pylist()]
+        for a, b in spans(sizes(docs["text"]), 256, 2 << 20):
+            own = [words_of(t) for t in docs["text"].slice(a, b - a).to_pylist()]
             per = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
             at = np.fromiter(map(index.__getitem__, chain.from_iterable(own)), dtype=np.int64, count=int(per.sum()))
             edge = np.concatenate(([0], np.cumsum(per)))
@@ -222,7 +222,7 @@ def score(
             tokens.append(per + 1)
             knowns.append(total(known[at]) + end_known)
             bases.append(np.bincount(row, weights=word_score[at], minlength=len(own)) + end_score)
-            ids, sizes_at = _gather(flat, sizes, at)
+            ids, sizes_at = _gather(flat, width, at)
             id_edge = np.concatenate(([0], np.cumsum(sizes_at)))[edge]
             models.append(scorer(np.insert(ids, id_edge[1:], sub.end), np.diff(id_edge) + 1) / math.log(10))
         column = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)

@@ -21,6 +21,9 @@ rank; an empty table gives no rows. Other columns aren't read.
 
 from __future__ import annotations
 
+import base64
+import json
+import os
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -29,10 +32,12 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from tokenizers import Tokenizer
 
 from .common import pieces, strings, written
 
@@ -54,23 +59,16 @@ class Ids:
     """
 
     def __init__(self, path: str):
-        import base64
-        import json
-
         self.fast = self.slow = None
         ranks_path = path.removesuffix(".json") + ".tiktoken"
-        try:
-            import tiktoken
-
+        if os.path.exists(ranks_path):
             with open(ranks_path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             with open(path, encoding="utf-8") as f:
                 special = {t["content"]: t["id"] for t in json.load(f).get("added_tokens", [])}
             self.fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
             self.special = set(special)
-        except (ImportError, OSError):
-            from tokenizers import Tokenizer
-
+        else:
             self.slow = Tokenizer.from_file(path)
 
     def __call__(self, text: str) -> np.ndarray:
@@ -237,7 +235,7 @@ def pack(
         encode, task = ids_of(path), TaskContext.get().partitionId()
         rank = np.zeros(size + 1, dtype=np.int64)
         end = np.array([end_id], dtype="<u4")
-        for batch in pieces(batches):
+        for batch in pieces(batches, text=1):
             owner, rows = [], []
             for i, text in enumerate(strings(batch.column(1))):
                 ids = np.concatenate((encode(text), end))

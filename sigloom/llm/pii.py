@@ -171,7 +171,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     none = hashlib.sha256(b"").hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1024):
+        for batch in pieces(batches, 1024, text=1):
             counts: list[list[int]] = [[], [], [], []]
             digests, spans = [], []
             for text in strings(batch.column(1)):

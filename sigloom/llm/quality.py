@@ -145,7 +145,7 @@ def quality(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", tex
     last = lengths[-1] if lengths else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1024):
+        for batch in pieces(batches, 1024, text=1):
             ms = [measure(t, lengths) for t in strings(batch.column(1))]
             longs = [[getattr(m, name) for m in ms] for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
             yield pa.RecordBatch.from_arrays(
@@ -173,7 +173,7 @@ def keep_quality(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text"
     lengths = tuple(sorted(rules.coverage))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 1024, text=where):
             yield batch.filter(pa.array([keeps(measure(t, lengths), rules) for t in strings(batch.column(where))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

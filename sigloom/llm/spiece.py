@@ -270,7 +270,7 @@ def encode(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(path)
-        for batch in pieces(batches, 1024):
+        for batch in pieces(batches, 1024, text=1, limit=4 << 20):
             texts = strings(batch.column(1))
             flat, size, back = codec.batch(texts)
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32()), pa.array(flat))

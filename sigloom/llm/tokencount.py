@@ -137,7 +137,7 @@ def count_tokens(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path)
-        for batch in pieces(batches):
+        for batch in pieces(batches, text=1):
             texts = strings(batch.column(1))
             size = np.array([len(t) if t.isascii() else len(t.encode()) for t in texts], dtype=np.int64)
             tokens = np.zeros(len(texts), dtype=np.int64)
