@@ -162,12 +162,10 @@ def near_duplicates(
 ) -> DataFrame:
     """id, doc_id, class_id, n_links, n_copies of every row; ``id`` is the text's."""
     sketches = written(sketch(docs, bands, rows, id_col, text_col), "sketches")
-    members = sketches.where("bands is not null").select(F.explode("bands").alias("band"), "id").distinct()
-    # Only buckets of two texts or more matter from here on.
-    shared = members.join(
-        members.groupBy("band").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("band"), "band", "left_semi"
-    )
-    shared = written(shared, "buckets")
+    # One exchange by band serves both sides of the join; only buckets of two texts or more matter from here on.
+    members = sketches.where("bands is not null").select(F.explode("bands").alias("band"), "id").repartition("band")
+    full = members.groupBy("band").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("band")
+    shared = written(members.join(full, "band", "left_semi").distinct(), "buckets")
     wanted = shared.select("id").distinct()
     bags = written(
         sketches.where("bag is not null").select("id", "bag").join(wanted, "id", "left_semi").groupBy("id").agg(F.any_value("bag").alias("bag")),
