@@ -158,26 +158,26 @@ def crawl_batch(
     nodes, edges, _ = assemble(x, now, assets)
     made = keep(graph.bundles(nodes, edges, now), "bundles").withColumnRenamed("doc_id", "url")
     per_url = seen.select("url", "error", "unchanged", "content_sha256").join(judged.select("url", "verdict", "response"), "url", "left").join(made, "url", "left")
-    failed = F.col("error").isNotNull() | (~F.col("unchanged") & F.col("verdict").isNull())
     outcomes = per_url.withColumn(
         "kind",
-        F.when(failed, "fetch_failed")
+        F.when(F.col("error").isNotNull(), "fetch_failed")
         .when(F.col("unchanged"), "skipped_unchanged")
+        .when(F.col("verdict").isNull(), "extraction_failed")  # no text was left of the page
         .when(~gate.keeps(F.col("verdict.score"), F.col("verdict.failed"), threshold), "skipped_below_threshold")
-        .when(F.col("bundle").isNull(), "extraction_failed")
-        .otherwise("kept"),
+        .when(F.col("bundle").isNull(), "no_objects")
+        .otherwise("extracted"),
     )
     found = gate.iocs(outcomes.where("response is not null").withColumn("json", jsontext.ladder("response")))
     listed = found.groupBy("url").agg(F.array_sort(F.collect_list(F.struct("pos", F.struct("type", "value", "confidence", "context_snippet").alias("i")))).alias("l"))
     listed = listed.select("url", F.transform("l", lambda r: r["i"]).alias("iocs"))
     none = F.expr("cast(array() as array<struct<type:string,value:string,confidence:double,context_snippet:string>>)")
-    touched = outcomes.where(F.col("kind").isin("kept", "skipped_below_threshold", "extraction_failed")).join(listed, "url", "left")
+    touched = outcomes.where(F.col("kind").isin("extracted", "skipped_below_threshold", "no_objects")).join(listed, "url", "left")
     updates = touched.select(
         "url",
         "content_sha256",
-        F.when(F.col("kind") == "kept", F.concat(F.lit("stix/bundle_"), text.slug("url"), F.lit(".json"))).alias("bundle_path"),
+        F.when(F.col("kind") == "extracted", F.concat(F.lit("stix/bundle_"), text.slug("url"), F.lit(".json"))).alias("bundle_path"),
         F.struct(
-            F.col("kind").alias("decision"),
+            F.when(F.col("kind") == "extracted", "kept").when(F.col("kind") == "no_objects", "extraction_failed").otherwise(F.col("kind")).alias("decision"),
             F.col("verdict.score").alias("score"),
             F.col("verdict.matched_pir_ids").alias("matched_pir_ids"),
             F.col("verdict.rationale").alias("rationale"),

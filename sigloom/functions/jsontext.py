@@ -68,6 +68,6 @@ def extraction_json(raw) -> Column:
 def partial_verdict(raw) -> Column:
     """Score and ids scraped from a truncated verdict; null without a score."""
     x = F.col(raw) if isinstance(raw, str) else raw
-    score = F.nullif(F.regexp_extract(x, r'"score"\s*:\s*(-?[0-9]+(?:\.[0-9]+)?)', 1), F.lit("")).try_cast("double")
-    ids = F.regexp_extract_all(F.regexp_extract(x, r'"matched_pir_ids"\s*:\s*\[([^\]]*)', 1), F.lit('"([^"]+)"'), 1)
+    score = F.nullif(F.regexp_extract(x, r'"score"\s*:\s*([0-9]+(?:\.[0-9]+)?)', 1), F.lit("")).try_cast("double")
+    ids = F.regexp_extract_all(F.regexp_extract(x, r'"matched_pir_ids"\s*:\s*\[([^\]]*)\]', 1), F.lit('"([^"]+)"'), 1)
     return F.when(score.isNotNull(), F.struct(score.alias("score"), ids.alias("matched_pir_ids")))

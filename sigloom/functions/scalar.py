@@ -28,7 +28,7 @@ def feed_type(override, content_type, content) -> Column:
     m = mime(content_type)
     return F.coalesce(
         _c(override),
-        F.when(m == "application/rss+xml", "rss").when(m == "application/atom+xml", "atom"),
+        F.when(m.isin("application/rss+xml", "application/rdf+xml"), "rss").when(m == "application/atom+xml", "atom"),
         F.when(m.isin("text/xml", "application/xml"), sniffed(content)),
         F.lit("html"),
     )

@@ -62,9 +62,8 @@ def clean(x) -> Column:
 
 def slug(url, longest: int = 80) -> Column:
     """A file name from a URL."""
-    body = F.regexp_replace(F.lower(F.regexp_replace(_c(url), r"^[a-zA-Z]+://", "")), "[^a-z0-9]+", "-")
-    cut = F.substring(F.regexp_replace(body, "^-+|-+$", ""), 1, longest)
-    return F.coalesce(F.nullif(F.regexp_replace(cut, "-+$", ""), F.lit("")), F.lit("bundle"))
+    body = F.regexp_replace(F.regexp_replace(_c(url), "^https?://", ""), "[^A-Za-z0-9._-]+", "-")
+    return F.coalesce(F.nullif(F.substring(F.regexp_replace(body, "^-+|-+$", ""), 1, longest), F.lit("")), F.lit("bundle"))
 
 
 def keywords(x, most: int = 6) -> Column:
@@ -105,34 +104,25 @@ def article_start(x, after: int = 500) -> Column:
 
 
 def chunks(x, limit: int) -> Column:
-    """Paragraphs packed greedily into chunks of at most ``limit`` characters, joined by an empty line.
+    """A text that fits is one chunk; else paragraphs packed greedily, joined by an empty line.
 
-    A paragraph beyond the limit is cut into pieces of ``limit``; empty paragraphs go.
+    A paragraph beyond the limit ends the chunk before it and is cut into chunks of its own.
     """
-    parts = F.filter(F.transform(F.split(_c(x), r"(?U)\n\s*\n"), strip), lambda p: p != "")
-    cut = F.flatten(
-        F.transform(
-            parts,
-            lambda p: F.transform(
-                F.sequence(F.lit(0), F.greatest(F.lit(0), ((F.length(p) - 1) / limit).cast("int"))),
-                lambda i: F.substring(p, i * limit + 1, F.lit(limit)),
-            ),
-        )
-    )
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("now"))
+    whole = _c(x)
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("now"))
+    closed = lambda acc: F.when(acc["now"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["now"])))
 
     def step(acc, p):
-        joined = F.when(acc["now"] == "", p).otherwise(F.concat(acc["now"], F.lit("\n\n"), p))
+        long = F.length(p) > limit
+        cut = F.transform(F.sequence(F.lit(0), ((F.length(p) - 1) / limit).cast("int")), lambda i: F.substring(p, i * limit + 1, F.lit(limit)))
+        joined = F.when(acc["now"].isNull(), p).otherwise(F.concat(acc["now"], F.lit("\n\n"), p))
         fits = F.length(joined) <= limit
         return F.struct(
-            F.when(fits, acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["now"]))).alias("done"),
-            F.when(fits, joined).otherwise(p).alias("now"),
+            F.when(long, F.concat(closed(acc), cut)).when(fits, acc["done"]).otherwise(closed(acc)).alias("done"),
+            F.when(long, F.lit(None)).when(fits, joined).otherwise(p).alias("now"),
         )
 
-    def finish(acc):
-        return F.when(acc["now"] == "", acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["now"])))
-
-    return F.aggregate(cut, start, step, finish)
+    return F.when(F.length(whole) <= limit, F.array(whole)).otherwise(F.aggregate(F.split(whole, r"(?U)\n\s*\n"), start, step, closed))
 
 
 def indicator_name(pattern) -> Column:

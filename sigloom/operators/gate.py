@@ -21,7 +21,7 @@ def verdict(raw: Column | str) -> Column:
     return F.struct(
         F.when(read, scalar.clamped(whole["score"])).otherwise(F.coalesce(scalar.clamped(part["score"]), F.lit(0.0))).alias("score"),
         F.coalesce(F.when(read, whole["matched_pir_ids"]).otherwise(part["matched_pir_ids"]), none).alias("matched_pir_ids"),
-        F.coalesce(F.when(read, F.substring(whole["rationale"], 1, 200)), F.lit("")).alias("rationale"),
+        F.coalesce(F.when(read, F.substring(text.strip(whole["rationale"]), 1, 200)), F.when(part.isNotNull(), "(truncated)"), F.lit("")).alias("rationale"),
         (~F.coalesce(read, F.lit(False)) & part.isNull()).alias("failed"),
         (~F.coalesce(read, F.lit(False)) & part.isNotNull()).alias("salvaged"),
     )

@@ -17,8 +17,9 @@ from .registry import query
 
 _VERDICT = """
     v as (
-        select doc_id, case when doc_id % 11 = 0 then null else least(1.0, greatest(0.0, quality * 0.7 - toxic * 0.5 + (doc_id % 10) * 0.05)) end as s, doc_id % 11 = 0 as failed
-        from labels
+        select doc_id, case when failed then null else least(1.0, greatest(0.0, raw)) end as s, failed from (
+            select doc_id, raw, doc_id % 11 = 0 or (doc_id % 3 = 0 and raw < 0) as failed
+            from (select doc_id, quality * 0.7 - toxic * 0.5 + (doc_id % 10) * 0.05 as raw from labels))
     )"""
 
 

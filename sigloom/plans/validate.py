@@ -119,7 +119,7 @@ def q22_uuid5_ids(spark, sf_dir):
 @query(
     """
     select page_id,
-           coalesce(nullif(regexp_replace(substr(regexp_replace(regexp_replace(lower(regexp_replace(url, '^[a-zA-Z]+://', '')), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 80), '-+$', ''), ''), 'bundle') as slug,
+           coalesce(nullif(substr(regexp_replace(regexp_replace(regexp_replace(url, '^https?://', ''), '[^A-Za-z0-9._-]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 80), ''), 'bundle') as slug,
            lower(regexp_replace(trim(url), '/+$', '')) as url_key
     from pages
     """
@@ -173,18 +173,16 @@ def q25_hedge_confidence(spark, sf_dir):
 
 @query(
     r"""
-    with p as (
-        select doc_id, list_filter([regexp_replace(x, '^[\s\x{A0}]+|[\s\x{A0}]+$', '', 'g') for x in string_split_regex(text, '\n')], lambda x: x <> '') as ps from documents
-    ), c as (
-        select doc_id, flatten([[substr(x, (i * 2000 + 1)::integer, 2000) for i in range(0, (length(x) + 1999) // 2000)] for x in ps]) as cs from p
-    )
-    select doc_id, list_sum([length(x) for x in cs])::bigint as chars, true as fits from c where len(cs) > 0
+    with t as (select doc_id, replace(text, chr(10), chr(10) || chr(10)) as t from documents),
+    p as (select doc_id, t, [length(x) for x in string_split_regex(t, '\n[\s\x{A0}\x{85}]*\n')] as ls from t)
+    select doc_id, case when length(t) <= 2000 then length(t) else list_sum(ls) end::bigint as chars, true as fits from p
     """
 )
 def q26_chunks(spark, sf_dir):
     d = load(spark, sf_dir, "documents").select("doc_id", text.chunks(F.replace("text", F.lit("\n"), F.lit("\n\n")), 2000).alias("c"))
-    exploded = d.select("doc_id", F.explode("c").alias("c"))
-    body = F.length(F.replace("c", F.lit("\n\n"), F.lit("")))
+    # Without the joints that packing put between paragraphs; a text that fits is left as it is.
+    exploded = d.select("doc_id", F.size("c").alias("n"), F.explode("c").alias("c"))
+    body = F.when(F.col("n") == 1, F.length("c")).otherwise(F.length(F.replace("c", F.lit("\n\n"), F.lit(""))))
     return exploded.groupBy("doc_id").agg(F.sum(body.cast("bigint")).alias("chars"), F.bool_and(F.length("c") <= 2000).alias("fits"))
 
 

@@ -32,25 +32,26 @@ TRIPLES = tuple((s, rel, t) for rel, sources, targets in _ALLOWED for s in sourc
 #: Those that validation holds attribution and impersonation against.
 ATTRIBUTION = tuple(x for x in TRIPLES if x[1] in ("attributed-to", "impersonates"))
 
-IDENTITY_CLASSES = tuple("class group individual organization system unknown".split())
+IDENTITY_CLASSES = tuple("unknown system organization individual group class".split())
 SECTORS = tuple(
-    """aerospace agriculture automotive chemical commercial communications construction dams defense education emergency-services energy
-    entertainment financial-services government government-local government-national government-public-services government-regional healthcare
-    hospitality-leisure infrastructure manufacturing mining non-profit nuclear pharmaceuticals retail technology telecommunications
-    transportation utilities water""".split()
+    """water utilities transportation telecommunications technology retail pharmaceuticals nuclear non-profit mining manufacturing
+    infrastructure hospitality-leisure healthcare government-regional government-public-services government-national government-local
+    government financial-services entertainment energy emergency-services education defense dams construction communications commercial
+    chemical automotive agriculture aerospace""".split()
 )
 TOOL_TYPES = tuple(
-    "credential-exploitation denial-of-service exploitation information-gathering network-capture remote-access unknown vulnerability-scanning".split()
+    """vulnerability-scanning unknown remote-access network-capture information-gathering exploitation denial-of-service
+    credential-exploitation""".split()
 )
 MALWARE_TYPES = tuple(
-    """adware backdoor bootkit bot ddos downloader dropper exploit-kit keylogger ransomware remote-access-trojan resource-exploitation
-    rogue-security-software rootkit screen-capture spyware trojan unknown virus webshell wiper worm""".split()
+    """worm wiper webshell virus unknown trojan spyware screen-capture rootkit rogue-security-software resource-exploitation
+    remote-access-trojan ransomware keylogger exploit-kit dropper downloader ddos bot bootkit backdoor adware""".split()
 )
 MOTIVATIONS = tuple(
-    "accidental coercion dominance ideology notoriety organizational-gain personal-gain personal-satisfaction revenge unpredictable".split()
+    "unpredictable revenge personal-satisfaction personal-gain organizational-gain notoriety ideology dominance coercion accidental".split()
 )
-ACCOUNT_TYPES = tuple("facebook kavi ldap nis openid radius skype tacacs twitter unix windows-domain windows-local".split())
-ACCESS_LEVELS = tuple("admin read write unknown".split())
+ACCOUNT_TYPES = tuple("windows-local windows-domain unix twitter tacacs skype radius openid nis ldap kavi facebook".split())
+ACCESS_LEVELS = tuple("deny admin write read".split())
 
 TLP_LEVELS = ("clear", "green", "amber", "red")
 #: Marking definitions of both protocol versions (the strict variant counts as amber).
@@ -65,12 +66,12 @@ TLP_MARKINGS = {
     for mark in marks.split()
 }
 
-IOC_TYPES = tuple("cve_id email fqdn ipv4 ipv6 sha256 url".split())
-DECISIONS = tuple("extraction_failed kept skipped_below_threshold skipped_unchanged".split())
-OUTCOMES = tuple("dry_run extraction_failed fetch_failed kept skipped_below_threshold skipped_unchanged".split())
+IOC_TYPES = tuple("cve_id md5 sha1 sha256 fqdn ipv6 ipv4".split())
+DECISIONS = tuple("kept no_pir extraction_failed skipped_below_threshold".split())
+OUTCOMES = tuple("extracted no_objects extraction_failed fetch_failed skipped_below_threshold skipped_unchanged".split())
 SEVERITIES = ("error", "warning", "info")
 STOPWORDS = tuple(
-    sorted("about against also and campaign collection from into monitor related report risk target targeting that the their threat this with".split())
+    sorted("with this threat their the that targeting target risk report related monitor into from collection campaign and also against about".split())
 )
 
 #: Phrases of estimative probability, tried from the top: a phrase that holds another one comes first.
@@ -91,4 +92,4 @@ NS_IDENTITY = uuid.UUID("c4f8d2e6-9b1a-5c7d-8e3f-2a4b6d8e1c5f")
 NS_ACCOUNT = uuid.UUID("e51e9d8a-3b2c-5d7f-9c4e-2b6a8f3c1d50")
 
 SCHEMA_VERSION = "2.0.0"
-OLD_SCHEMA_VERSIONS = ("0.15.0", "0.18.0", "1.0.0", "1.1.0")
+OLD_SCHEMA_VERSIONS = ("1.0.0", "0.18.0", "0.17.0", "0.16.0")

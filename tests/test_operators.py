@@ -46,13 +46,13 @@ def test_contains_term(spark):
 
 def test_urls(spark):
     assert one(spark, text.url_key(F.lit(" HTTP://X.org/A// "))) == "http://x.org/a"
-    assert one(spark, text.slug(F.lit("https://X.org/A?b=1"))) == "x-org-a-b-1"
+    assert one(spark, text.slug(F.lit("https://X.org/A?b=1"))) == "X.org-A-b-1"
     assert one(spark, text.slug(F.lit("https://"))) == "bundle"
 
 
 def test_chunks(spark):
-    assert one(spark, text.chunks(F.lit("aa\n\nbb\n \ncccc\n\ndddddddddd"), 6)) == ["aa\n\nbb", "cccc", "dddddd", "dddd"]
-    assert one(spark, text.chunks(F.lit(""), 6)) == []
+    assert one(spark, text.chunks(F.lit("aa\n\nbb\n \ncccc\n\ndddddddddd\n\ne"), 6)) == ["aa\n\nbb", "cccc", "dddddd", "dddd", "e"]
+    assert one(spark, text.chunks(F.lit("a\n\n\nb"), 6)) == ["a\n\n\nb"] and one(spark, text.chunks(F.lit(""), 6)) == [""]
 
 
 def test_indicator_names(spark):
@@ -108,7 +108,8 @@ def test_ladder_and_salvage(spark):
 
 
 def test_partial_verdict(spark):
-    assert one(spark, jsontext.partial_verdict(F.lit('{"score": 0.7, "matched_pir_ids": ["a", "b"')))["matched_pir_ids"] == ["a", "b"]
+    assert one(spark, jsontext.partial_verdict(F.lit('{"score": 0.7, "matched_pir_ids": ["a", "b"], "rat')))["matched_pir_ids"] == ["a", "b"]
+    assert one(spark, jsontext.partial_verdict(F.lit('{"score": -1'))) is None
     assert one(spark, jsontext.partial_verdict(F.lit("no"))) is None
 
 
@@ -467,7 +468,7 @@ def test_crawl_batch(spark):
     run = lambda s: api.crawl_batch(sources, fetched, s, judge, model(spark), "[]", "h", now())
     done = run(old)
     kinds = {r["url"]: r["kind"] for r in done.outcomes.collect()}
-    assert kinds == {"https://x.org/a": "kept", "https://x.org/low": "skipped_below_threshold", "https://x.org/down": "fetch_failed", "https://x.org/never": "fetch_failed"}
+    assert kinds == {"https://x.org/a": "extracted", "https://x.org/low": "skipped_below_threshold", "https://x.org/down": "fetch_failed", "https://x.org/never": "fetch_failed"}
     rows = {r["url"]: r for r in done.state.collect()}
     assert set(rows) == {"https://x.org/a", "https://x.org/low"} and rows["https://x.org/a"]["iocs"][0]["value"] == "1.2.3.4"
     kept = spark.createDataFrame(done.state.collect(), done.state.schema)
