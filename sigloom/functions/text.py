@@ -48,11 +48,17 @@ def url_key(x) -> Column:
     return F.lower(F.regexp_replace(strip(x), "/+$", ""))
 
 
+def plain_text(x) -> Column:
+    """:func:`match_text` with hyphens read as spaces.
+
+    A text that holds a term holds it in this form too, so one search for it covers both spellings.
+    """
+    return F.replace(match_text(x), F.lit("-"), F.lit(" "))
+
+
 def contains_term(text, needle) -> Column:
-    """Whether a normalised text holds a normalised term, hyphens read as spaces too."""
-    h, n = _c(text), _c(needle)
-    plain = lambda c: F.replace(c, F.lit("-"), F.lit(" "))
-    return F.coalesce(F.contains(h, n) | F.contains(plain(h), plain(n)), F.lit(False))
+    """Whether a text holds a term, hyphens and spaces alike."""
+    return F.coalesce(F.contains(plain_text(text), plain_text(needle)), F.lit(False))
 
 
 def clean(x) -> Column:

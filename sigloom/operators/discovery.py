@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar, text
-from .relational import first_of, small, top_of
+from .relational import containing, first_of, top_of
 
 #: (category, weight) in the order in which a requirement's terms are taken.
 BRANCHES = (
@@ -60,15 +60,14 @@ def in_window(published: Column | str, start: Column, end: Column) -> Column:
 def match_terms(entries: DataFrame, terms: DataFrame, body: str = "body", title: str = "title") -> DataFrame:
     """Entries x terms that they hold: entry columns, pir_id, term, weight, in_title.
 
-    Terms are substrings, so there is no key to join on. Instead of comparing each pair, the terms
-    (whose number a check bounds) go into one array that every entry filters inside generated code;
-    each entry's text is normalised once, and only matches become rows. A longer term list is
-    joined by Catalyst's nested loop.
+    Each text is normalised once, before it meets the terms. See ``relational.containing``: few
+    terms (80 per requirement at most) are tried beside the scan, without a shuffle; many are
+    joined by their first letters. Only matches become rows.
     """
-    normal = entries.withColumn("_h", text.match_text(body)).withColumn("_t", text.match_text(F.coalesce(title, F.lit(""))))
-    wanted = terms.select("pir_id", "term", "weight", text.match_text("term").alias("_n"))
-    joined = normal.join(small(wanted), text.contains_term("_h", "_n"))
-    return joined.withColumn("in_title", text.contains_term("_t", "_n")).drop("_h", "_t", "_n")
+    normal = entries.withColumn("_h", text.plain_text(body)).withColumn("_t", text.plain_text(F.coalesce(title, F.lit(""))))
+    wanted = terms.select("pir_id", "term", "weight", text.plain_text("term").alias("_n"))
+    joined = containing(normal, "_h", wanted, "_n")
+    return joined.withColumn("in_title", F.contains("_t", "_n")).drop("_h", "_t", "_n")
 
 
 def score(matches: DataFrame, keys: list[str], published: str, start: Column, end: Column, digits: int = 3) -> DataFrame:

@@ -23,12 +23,28 @@ def top_of(df: DataFrame, keys: list[str], n: int, *order: Column | str) -> Data
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, hinted for broadcast if a bounded count shows that it is small; else as it is."""
-    return F.broadcast(df) if len(df.select(F.lit(1)).limit(rows + 1).take(rows + 1)) <= rows else df
+    return F.broadcast(df) if is_small(df, rows) else df
 
 
-def sampled_size(df: DataFrame, rows: int = BROADCAST_ROWS) -> int:
-    """The number of rows, counted up to ``rows`` + 1 only."""
-    return df.select(F.lit(1)).limit(rows + 1).count()
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+
+
+def containing(texts: DataFrame, text: str, needles: DataFrame, needle: str, gram: int = 3, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Rows of ``texts`` with those of ``needles`` that their text holds; needles of less than ``gram`` characters match nothing.
+
+    Few needles (a bounded count tells) are broadcast, and tried on each text beside its scan. Many
+    are joined by their first ``gram`` characters with the distinct grams of each text, an
+    equi-join that AQE splits where a gram is hot, and then verified: no pair is ever compared that
+    shares no gram.
+    """
+    long = needles.where(F.length(needle) >= gram)
+    if is_small(long, rows):
+        return texts.join(F.broadcast(long), F.contains(text, needle))
+    places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - (gram - 1)))
+    grams = F.array_distinct(F.transform(places, lambda i: F.substring(F.col(text), i, F.lit(gram))))
+    keyed = texts.withColumn("_gram", F.explode(grams)).join(long.withColumn("_gram", F.substring(needle, 1, gram)), "_gram")
+    return keyed.where(F.contains(text, needle)).drop("_gram")
 
 
 def counted_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from .relational import small
+from .relational import BROADCAST_ROWS, containing
 
 CONFIDENCE = {1: 80, 2: 50, 3: 30}
 MIN_OVERLAP = 4
 
 
-def _overlaps(ref: Column, name: Column) -> Column:
-    return (name != "") & (
-        (F.contains(name, ref) & (F.length(ref) >= MIN_OVERLAP)) | (F.contains(ref, name) & (F.length(name) >= MIN_OVERLAP))
-    )
+def _overlapping(refs: DataFrame, names: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """References (_r) with names (_n) where one holds the other, 4 characters or more."""
+    n = names.where(F.length("_n") >= MIN_OVERLAP)
+    held = containing(refs, "_r", n, "_n", MIN_OVERLAP, rows)
+    holds = containing(n, "_n", refs, "_r", MIN_OVERLAP, rows)
+    return held.unionByName(holds).distinct()
 
 
 def _decide(hits: DataFrame, ref: str) -> DataFrame:
@@ -30,14 +32,14 @@ def resolve_assets(references: DataFrame, assets: DataFrame, ref: str = "referen
     """(reference, id, tier, confidence). Tiers: equal name, name overlap of 4 characters or more, equal tag.
 
     assets: id, name, tags. Each distinct reference is resolved once. Equal names and tags are
-    equi-joins; only references without an equal name meet the names by substring, the names'
-    side broadcast if a count shows that it is small.
+    equi-joins; only references without an equal name meet the names by substring
+    (``relational.containing``).
     """
     refs = references.select(F.col(ref)).where(text.strip(ref) != "").distinct().withColumn("_r", text.normal(ref))
     names = assets.select("id", text.normal(F.coalesce("name", F.lit(""))).alias("_n"), "tags")
     equal = refs.join(names.select("id", F.col("_n").alias("_r")), "_r").select(ref, "id", F.lit(1).alias("tier"))
     rest = refs.join(equal.select(ref).distinct(), ref, "left_anti")
-    over = rest.join(small(names.select("id", "_n")), _overlaps(F.col("_r"), F.col("_n"))).select(ref, "id", F.lit(2).alias("tier"))
+    over = _overlapping(rest, names.select("id", "_n")).select(ref, "id", F.lit(2).alias("tier")).distinct()
     tags = names.select("id", F.explode("tags").alias("t")).select("id", text.normal("t").alias("_r")).distinct()
     tagged = rest.join(tags, "_r").select(ref, "id", F.lit(3).alias("tier"))
     return _decide(equal.unionByName(over).unionByName(tagged), ref)
@@ -57,7 +59,9 @@ def resolve_identities(references: DataFrame, identities: DataFrame, ref: str =
     )
     equal = refs.join(rows.select("id", F.col("_n").alias("_r")), "_r").select(ref, "id", F.lit(1).alias("tier"))
     rest = refs.join(equal.select(ref).distinct(), ref, "left_anti")
-    tier = F.when(_overlaps(F.col("_r"), F.col("_n")), 2).when(F.exists("_f", lambda f: F.contains(f, F.col("_r"))), 3)
-    looser = rest.join(small(rows), tier.isNotNull()).select(ref, "id", tier.alias("tier"))
+    over = _overlapping(rest, rows.select("id", "_n")).select(ref, "id", F.lit(2).alias("tier")).distinct()
+    fields = rows.select("id", F.explode(F.array_distinct("_f")).alias("_field"))
+    # A role or sector may be held by a reference of any length, so the grams of one letter are used.
+    within = containing(fields, "_field", rest, "_r", 1).select(ref, "id", F.lit(3).alias("tier")).distinct()
     # A reference's third-tier hits include names that the second tier has; the best tier decides anyway.
-    return _decide(equal.unionByName(looser), ref)
+    return _decide(equal.unionByName(over).unionByName(within), ref)

@@ -483,6 +483,13 @@ def test_small_is_checked(spark):
     assert "broadcast" not in plan(relational.small(spark.range(11), 10)).lower()
 
 
+def test_containing_by_grams_equals_the_loop(spark):
+    texts = spark.createDataFrame([(1, "the mail gateway"), (2, "gate"), (3, "ab"), (4, None)], "i int, t string")
+    needles = spark.createDataFrame([("gate",), ("mail gate",), ("ab",), ("the",), ("zzz",)], "n string")
+    rows = lambda limit: sorted((r["i"], r["n"]) for r in relational.containing(texts, "t", needles, "n", 3, limit).collect())
+    assert rows(100) == rows(0) == [(1, "gate"), (1, "mail gate"), (1, "the"), (2, "gate")]
+
+
 def test_schemas(spark):
     assert set(sinks.schemas()) == {"sources", "catalog", "pirs", "state", "findings"}
 
