@@ -90,7 +90,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> float:
 def sketch(docs: DataFrame, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in pieces(batches, 1000, text=2, limit=3 << 20):
+        for batch in pieces(batches, 512, text=2, limit=3 << 19):
             ids, texts = batch.column(1).to_pylist(), strings(batch.column(2))
             new = [i for i, t in enumerate(ids) if not (t in seen or seen.add(t))]
             band, bag = [None] * len(ids), [None] * len(ids)
@@ -121,7 +121,7 @@ def _pairs(members: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 256):
             hit = [
                 overlap(np.frombuffer(x, dtype="<u4"), np.frombuffer(y, dtype="<u4")) >= threshold
                 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
