@@ -37,7 +37,7 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Distinct units that a task remembers before it starts anew; bounds its memory.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Units that are encoded as one text.
 GROUP = 64
 
@@ -270,7 +270,7 @@ def encode(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(path)
-        for batch in pieces(batches, 1024, text=1, limit=4 << 20):
+        for batch in pieces(batches, 1024, text=1):
             texts = strings(batch.column(1))
             flat, size, back = codec.batch(texts)
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32()), pa.array(flat))
@@ -290,7 +290,7 @@ def decode(encoded: DataFrame, model: str | None = None, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(path)
-        for batch in pieces(batches, 1024):
+        for batch in pieces(batches, 128):
             texts = codec.tokenizer.decode_batch([x or [] for x in batch.column(1).to_pylist()], skip_special_tokens=False)
             if codec.proto.add_dummy_prefix:
                 texts = [t[1:] if t.startswith(" ") else t for t in texts]
