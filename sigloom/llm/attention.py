@@ -48,6 +48,7 @@ SHAPES = {
 }
 SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
 _MASK = np.arange(WINDOW)[None, :] <= (np.arange(STEP) + STEP - 1)[:, None]  # queries at 15..30
+_FAR = np.where(_MASK, 0, -1e9).astype(np.float32)
 
 
 def initial(seed: int = 7) -> dict[str, np.ndarray]:
@@ -81,7 +82,7 @@ def windows(ids: np.ndarray, sizes: np.ndarray, pad: int) -> tuple[np.ndarray, n
     count = -(-sizes // STEP)
     length = STEP + count * STEP
     base = np.cumsum(length) - length
-    stream = np.full(int(length.sum()), pad, dtype=np.int64)
+    stream = np.full(int(length.sum()), pad, dtype=ids.dtype)
     first = np.cumsum(sizes) - sizes
     stream[np.repeat(base + STEP - first, sizes) + np.arange(len(ids))] = ids
     doc = np.repeat(np.arange(len(sizes)), count)
@@ -89,38 +90,47 @@ def windows(ids: np.ndarray, sizes: np.ndarray, pad: int) -> tuple[np.ndarray, n
     return stream, base[doc] + nth * STEP, doc
 
 
+def _times(x: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """x @ m as one product of two matrices."""
+    return (x.reshape(-1, x.shape[-1]) @ m).reshape(*x.shape[:-1], -1)
+
+
 def loss_and_gradient(w, x_class, x_hash, target, live):
     """Mean cross-entropy of classes and its gradient for a batch of windows."""
     n = len(x_class)
     X = w["E"][x_class] + w["H"][x_hash] + w["P"]
     Xq = X[:, STEP - 1 : WINDOW - 1]
-    q, k, v = Xq @ w["Q"], X @ w["K"], X @ w["V"]
-    s = np.where(_MASK, q @ k.transpose(0, 2, 1) * DIM**-0.5, -np.inf)
-    s -= s.max(axis=2, keepdims=True)
-    a = np.exp(s)
-    a /= a.sum(axis=2, keepdims=True)
+    q, k, v = _times(Xq, w["Q"]), _times(X, w["K"]), _times(X, w["V"])
+    a = (q * DIM**-0.5) @ k.transpose(0, 2, 1)
+    a += _FAR
+    a -= a.max(axis=2, keepdims=True)
+    np.exp(a, out=a)
+    a *= 1 / a.sum(axis=2, keepdims=True)
     r = Xq + a @ v
-    o = np.tanh(r @ w["W"] + w["b"])
-    logits = o @ w["U"] + w["c"]
+    o = np.tanh(_times(r, w["W"]) + w["b"])
+    logits = _times(o, w["U"]) + w["c"]
     logits -= logits.max(axis=2, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(axis=2, keepdims=True)
+    p = np.exp(logits, out=logits)
+    p *= 1 / p.sum(axis=2, keepdims=True)
     total = max(1, int(live.sum()))
     rows, cols = np.nonzero(live)
     loss = -np.log(np.maximum(p[rows, cols, target[rows, cols]], 1e-30)).sum() / total
     p[rows, cols, target[rows, cols]] -= 1
-    d = (p * live[:, :, None] / total).astype(np.float32)
+    p *= live[:, :, None] / np.float32(total)
+    d = p.astype(np.float32, copy=False)
     g = {"U": np.tensordot(o, d, ((0, 1), (0, 1))), "c": d.sum(axis=(0, 1))}
-    do = d @ w["U"].T * (1 - o * o)
+    do = _times(d, w["U"].T) * (1 - o * o)
     g["W"], g["b"] = np.tensordot(r, do, ((0, 1), (0, 1))), do.sum(axis=(0, 1))
-    dr = do @ w["W"].T
+    dr = _times(do, w["W"].T)
     dv = a.transpose(0, 2, 1) @ dr
     da = dr @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * DIM**-0.5
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
+    da -= np.einsum("nij,nij->ni", da, a)[:, :, None]
+    da *= a
+    da *= DIM**-0.5
+    dq, dk = da @ k, da.transpose(0, 2, 1) @ q
     g["Q"], g["K"], g["V"] = (np.tensordot(x, y, ((0, 1), (0, 1))) for x, y in ((Xq, dq), (X, dk), (X, dv)))
-    dX = dk @ w["K"].T + dv @ w["V"].T
-    dX[:, STEP - 1 : WINDOW - 1] += dr + dq @ w["Q"].T
+    dX = _times(dk, w["K"].T) + _times(dv, w["V"].T)
+    dX[:, STEP - 1 : WINDOW - 1] += dr + _times(dq, w["Q"].T)
     g["P"] = dX.sum(axis=0)
     flat = dX.reshape(-1, DIM)
     for name, rows, height in (("E", x_class, CLASSES + 1), ("H", x_hash, HASHED)):
@@ -130,17 +140,21 @@ def loss_and_gradient(w, x_class, x_hash, target, live):
 
 
 def train(w, ids, sizes, class_of, steps: int, batch: int = 384, rate: float = 0.02, seed: int = 1):
-    """Adam over the windows of ``ids`` (documents in a row), in a seeded order."""
+    """Adam over the windows of ``ids`` (documents in a row), in a seeded order.
+
+    Every window is drawn once at least; fewer than ``steps`` batches are gone through again.
+    """
     if not len(ids):
         return w
     pad = len(class_of) - 1
     stream, starts, _ = windows(ids, sizes, pad)
-    stream = np.concatenate((stream, [pad]))
+    stream = np.append(stream, stream.dtype.type(pad))
     rng = np.random.default_rng(seed)
     w = {n: x.copy() for n, x in w.items()}
     first = {n: np.zeros_like(x) for n, x in w.items()}
     second = {n: np.zeros_like(x) for n, x in w.items()}
     order = rng.permutation(len(starts))
+    steps = max(steps, -(-len(starts) // batch))
     for step in range(1, steps + 1):
         pick = np.take(order, np.arange((step - 1) * batch, step * batch), mode="wrap")
         tokens = stream[starts[pick][:, None] + np.arange(WINDOW)]

@@ -2,8 +2,8 @@
 over subwords (see ``attention``).
 
 Documents are dealt to chunks of bounded size by a hash of id and text. 1. One map per chunk counts
-the words of its training documents, notes those of the others, and trains the model on windows of
-all its training documents (their number grows with the text) from a common start. 2. Counts of a
+the words of its training documents, notes those of the others, and trains the model on every window
+of all its training documents (their number grows with the text) from a common start. 2. Counts of a
 word are summed over the chunks that hold it, where they are needed: one row per word and chunk,
 never one per occurrence, and no dictionary is broadcast. 3. The chunks' weights are averaged per
 parameter; subword counts of all training texts follow from the word counts. 4. Each chunk meets
@@ -38,8 +38,8 @@ from . import attention
 from .common import sizes, spans, strings, written
 
 CHUNK_CHARS = 24_000_000
-#: Training: one window of WORDS words per PER_WORDS words of a document, STEPS steps per chunk.
-WORDS, PER_WORDS, STEPS = 24, 600, 100
+#: Training steps of a chunk at least; one with more windows takes as many steps as meet each of them.
+STEPS = 120
 
 
 class Subwords:
@@ -91,16 +91,6 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def _slices(words: list[bytes]) -> list[list[bytes]]:
-    """A document's training windows, spread over it; the place is a hash of what it holds."""
-    out = []
-    for at in range(0, max(1, len(words)), PER_WORDS):
-        room = min(PER_WORDS, len(words) - at) - WORDS
-        skip = crc32(b" ".join(words[at : at + 8])) % (room + 1) if room > 0 else 0
-        out.append(words[at + skip : at + skip + WORDS])
-    return out
-
-
 def _gather(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the words ``at``, one after the other, and how many each has."""
     own = size[at]
@@ -108,6 +98,23 @@ def _gather(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndar
     return flat[np.repeat(begin - (np.cumsum(own) - own), own) + np.arange(int(own.sum()))], own
 
 
+def _training_ids(texts: list[bytes], words: list[bytes], sub: Subwords) -> tuple[np.ndarray, np.ndarray]:
+    """All subwords of all texts, an end after each text, and each text's number of them."""
+    index = dict(zip(words, range(len(words))))
+    flat, width = sub(words)
+    flat = flat.astype(np.int32)
+    ids, lengths = [], []
+    for a, b in spans(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)), 256, 2 << 20):
+        own = [t.split() for t in texts[a:b]]
+        per = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
+        at = np.fromiter(map(index.__getitem__, chain.from_iterable(own)), dtype=np.int64, count=int(per.sum()))
+        some, sizes_at = _gather(flat, width, at)
+        edge = np.concatenate(([0], np.cumsum(sizes_at)))[np.concatenate(([0], np.cumsum(per)))]
+        ids.append(np.insert(some, edge[1:], sub.end))
+        lengths.append(np.diff(edge) + 1)
+    return np.concatenate(ids or [flat[:0]]), np.concatenate(lengths or [np.zeros(0, dtype=np.int64)])
+
+
 def score(
     docs: DataFrame,
     held_out: Column,
@@ -127,7 +134,7 @@ def score(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[int, Counter] = {}
         others: dict[int, set] = {}
-        slices: dict[int, list] = {}
+        texts: dict[int, list[bytes]] = {}
         for batch in batches:
             for t, out, at in zip(strings(batch.column(2)), batch.column(1).to_pylist(), batch.column(3).to_pylist()):
                 words = words_of(t)
@@ -135,7 +142,7 @@ def score(
                     others.setdefault(at, set()).update(words)
                 else:
                     counts.setdefault(at, Counter()).update(words)
-                    slices.setdefault(at, []).extend(_slices(words))
+                    texts.setdefault(at, []).append(b" ".join(words))
         sub = subwords_of(path)
         for at in counts.keys() | others.keys():
             own = counts.pop(at, Counter())
@@ -145,12 +152,8 @@ def score(
             for a in range(0, len(words), 65536):
                 part = words[a : a + 65536]
                 yield _row(at, part, number[a : a + 65536], None)
-            some = slices.pop(at, [])
-            flat, sizes = sub(list(chain.from_iterable(some)))
-            per = np.fromiter(map(len, some), dtype=np.int64, count=len(some))
-            edge = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(per)))]
-            ids = np.insert(flat, edge[1:], sub.end)
-            w = attention.train(attention.initial(), ids, np.diff(edge) + 1, sub.class_of, STEPS)
+            ids, lengths = _training_ids(texts.pop(at, []), [*own], sub)
+            w = attention.train(attention.initial(), ids, lengths, sub.class_of, STEPS)
             yield _row(at, [None], [0], attention.pack(w))
 
     def _row(at: int, words, number, weights) -> pa.RecordBatch:

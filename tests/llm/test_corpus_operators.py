@@ -107,6 +107,24 @@ def test_training_learns(texts):
     assert score > np.log(share / share.sum())[sub.class_of[test]].mean() + 0.3
 
 
+def test_training_meets_every_window(spark, texts, monkeypatch):
+    """The ids that a chunk trains on are all subwords of its texts, and each window is drawn."""
+    sub = lmscore.subwords_of(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    some = [*texts.values(), "word " * 1500, ""]
+    words = [lmscore.words_of(t) for t in some]
+    ids, lengths = lmscore._training_ids([b" ".join(w) for w in words], list(dict.fromkeys(w for ws in words for w in ws)), sub)
+    assert ids.tolist() == [i for ws in words for i in [*sub(ws)[0], sub.end]] and lengths.sum() == len(ids)
+    seen, plain = [], attention.loss_and_gradient
+
+    def noted(w, x_class, x_hash, target, live):
+        seen.append(int(live.sum()))
+        return plain(w, x_class, x_hash, target, live)
+
+    monkeypatch.setattr(attention, "loss_and_gradient", noted)
+    attention.train(attention.initial(), ids, lengths, sub.class_of, 1)
+    assert len(seen) == math.ceil((-(-lengths // attention.STEP)).sum() / 384) and len(ids) <= sum(seen) < len(ids) + 384 * 16
+
+
 def test_subwords_of_odd_words():
     sub = lmscore.subwords_of(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     words = [w.encode() for w in ("a", "b\xa0", "\xa0c", "日本", "x" * 500, "🙂", "don't")]
