@@ -6,10 +6,9 @@ of one word has that word), each as often as it occurs. Steps:
 1. One map computes each text's 64-bit id (JVM), its signature's band hashes and its bag (hashes of
    the n-th occurrence of each bigram, sorted). Within a task, equal texts are sketched once. The
    result is written once; the texts aren't shuffled.
-2. Texts of one band hash are a bucket. Every member of a bucket is paired with two of its members,
-   those whose ids are smallest and largest after being xored with the band hash: other ones in
-   each of the buckets that two texts share. Pairs are thus linear in the buckets' sizes, however
-   large a bucket is; equal pairs of several bands fall together.
+2. Texts of one band hash are a bucket. All members of a bucket are paired with each other, in
+   blocks, so that no task gets more than two blocks of a bucket at once; equal pairs of several
+   bands fall together.
 3. Pairs are verified: their bags' exact multiset Jaccard overlap must reach ``threshold``.
 4. Classes are the connected components of the verified links (alternating large-star and
    small-star steps on written tables). Copies (equal texts) share an id, hence a class, at no cost;
@@ -18,8 +17,8 @@ of one word has that word), each as often as it occurs. Steps:
    paired again in the same way, and 3 and 4 repeated, until no new link is found: a link that the
    first pairs of a mixed bucket passed over has as many chances as the buckets that it shares.
 
-Result: doc_id, class_id (the smallest doc_id of the class), n_links (verified links to other
-texts), n_copies (rows with this very text, itself included). Every row gets one result row. Null
+Result: doc_id, class_id (the smallest doc_id of the class), n_links (other texts that
+share a bucket with it and reach the threshold), n_copies (rows with this very text, itself included). Every row gets one result row. Null
 counts as the empty text; texts without words are in a class with their exact copies only.
 """
 
@@ -38,6 +37,7 @@ from .bagminhash import U64, mix, signatures
 from .common import pieces, strings, written
 
 THRESHOLD, BANDS, ROWS = 0.5, 50, 4
+BLOCK = 256  # members of a bucket that one block holds on average
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
 
 
@@ -112,11 +112,17 @@ def sketch(docs: DataFrame, bands: int, rows: int, id_col: str, text_col: str) -
 
 
 def _pairs(members: DataFrame) -> DataFrame:
-    """(a, b), a < b, from (band, id): each member with the two poles of its bucket."""
-    v = F.col("id").bitwiseXOR(F.col("band"))
-    poles = members.groupBy("band").agg(F.min(v).alias("lo"), F.max(v).alias("hi")).where("lo < hi")
-    met = members.join(poles, "band").select("id", F.explode(F.array(*(F.col(x).bitwiseXOR(F.col("band")) for x in ("lo", "hi")))).alias("pole"))
-    return met.where("id <> pole").select(F.least("id", "pole").alias("a"), F.greatest("id", "pole").alias("b")).distinct()
+    """(a, b), a < b: all pairs of each bucket, from distinct (band, id).
+
+    A large bucket is dealt to blocks, and each two of them (and each with itself) meet on their own.
+    """
+    blocks = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    dealt = members.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    met = met.select("band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id")
+    one = met.withColumnsRenamed({"id": "a", "own": "own_a"})
+    two = met.withColumnsRenamed({"id": "b", "own": "own_b"})
+    return one.join(two, ["band", "lo", "hi"]).where("a < b and (lo = hi or own_a <> own_b)").select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:

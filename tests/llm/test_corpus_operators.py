@@ -213,6 +213,24 @@ def test_planted_copies(spark):
     assert {got[i] for i in range(340)} == {0} and all(got[i] == i for i in range(340, 400))
 
 
+def test_links_of_many_near_copies(spark, monkeypatch):
+    """n_links is the full degree, also where a bucket is dealt to several blocks."""
+    monkeypatch.setattr(neardup, "BLOCK", 32)
+    rng = random.Random(6)
+    words = ["w%d" % i for i in range(4000)]
+    base = [rng.choice(words) for _ in range(200)]
+    made = {}
+    for i in range(200):
+        near = list(base)
+        for _ in range(4):
+            near[rng.randrange(200)] = rng.choice(words)
+        made[i] = " ".join(near)
+    classes, degree = brute_classes(made)
+    got = {r["doc_id"]: r for r in neardup.near_duplicates(spark.createDataFrame(list(made.items()), "doc_id long, text string")).collect()}
+    assert {i: r["n_links"] for i, r in got.items()} == {i: len(degree[made[i]]) for i in made}
+    assert {i: r["class_id"] for i, r in got.items()} == classes
+
+
 def test_near_duplicates_odd(odd):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == odd.count()
