@@ -7,19 +7,16 @@ of one word has that word), each as often as it occurs. Steps:
    the n-th occurrence of each bigram, sorted). Within a task, equal texts are sketched once. The
    result is written once; the texts aren't shuffled.
 2. Texts of one band hash are a bucket. All members of a bucket are paired with each other, in
-   blocks, so that no task gets more than two blocks of a bucket at once; equal pairs of several
-   bands fall together.
+   blocks, so that no key of the join holds more than two of them; equal pairs of several bands fall
+   together.
 3. Pairs are verified: their bags' exact multiset Jaccard overlap must reach ``threshold``.
 4. Classes are the connected components of the verified links (alternating large-star and
    small-star steps on written tables). Copies (equal texts) share an id, hence a class, at no cost;
    they are never expanded into pairs.
-5. In each bucket that still spans several classes, the classes' representatives in that bucket are
-   paired again in the same way, and 3 and 4 repeated, until no new link is found: a link that the
-   first pairs of a mixed bucket passed over has as many chances as the buckets that it shares.
 
-Result: doc_id, class_id (the smallest doc_id of the class), n_links (other texts that
-share a bucket with it and reach the threshold), n_copies (rows with this very text, itself included). Every row gets one result row. Null
-counts as the empty text; texts without words are in a class with their exact copies only.
+Result: doc_id, class_id (the smallest doc_id of the class), n_links (other texts that share a
+bucket with it and reach the threshold), n_copies (rows with this very text, itself included). Every
+row gets one result row. Null counts as the empty text; texts without words are in a class with their exact copies only.
 """
 
 from __future__ import annotations
@@ -177,20 +174,8 @@ def near_duplicates(
         sketches.where("bag is not null").select("id", "bag").join(wanted, "id", "left_semi").groupBy("id").agg(F.any_value("bag").alias("bag")),
         "bags",
     )
-    pairs = written(_pairs(shared), "pairs")
-    links = written(_verified(pairs, bags, threshold), "links")
+    links = written(_verified(_pairs(shared), bags, threshold), "links")
     roots = components(links)
-    while True:
-        # Buckets that span classes: one member for each class meets the poles of these.
-        rooted = shared.join(roots, "id", "left").select("band", "id", F.coalesce("root", "id").alias("root"))
-        spread = rooted.groupBy("band", "root").agg(F.min("id").alias("id"))
-        more = _pairs(spread.select("band", "id")).join(pairs, ["a", "b"], "left_anti")
-        more = written(more, "pairs")
-        found = written(_verified(more, bags, threshold), "links")
-        if found.isEmpty():
-            break
-        pairs, links = pairs.union(more), links.union(found)
-        roots = components(links)
     degree = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     texts = sketches.groupBy("id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_copies"))
     texts = texts.join(roots, "id", "left").join(degree, "id", "left").withColumn("root", F.coalesce("root", "id"))

@@ -231,6 +231,27 @@ def test_links_of_many_near_copies(spark, monkeypatch):
     assert {i: r["class_id"] for i, r in got.items()} == classes
 
 
+def test_pairs_among_passage_sharers(spark):
+    """Pairs of overlap 0.54 in large buckets of texts that share a passage: each pair that meets in a bucket is a link."""
+    rng = random.Random(7)
+    words = ["w%d" % i for i in range(40000)]
+    own = lambda n: [rng.choice(words) for _ in range(n)]
+    passage, made = own(127), []
+    for _ in range(150):
+        both = own(14)
+        made += [" ".join(passage + both + own(60)) for _ in range(2)]
+    owner, element, weight, _ = neardup.bags_of(made)
+    bands = neardup.band_hashes(bagminhash.signatures(owner, element, weight, len(made), neardup.BANDS * neardup.ROWS), neardup.BANDS, neardup.ROWS)
+    bags, want = list(map(bag, made)), Counter()
+    met = {(i, j) for j in range(len(made)) for i in range(j) if (bands[i] == bands[j]).any() and jaccard(bags[i], bags[j]) >= neardup.THRESHOLD}
+    for pair in met:
+        want.update(pair)
+    got = {r["doc_id"]: r for r in neardup.near_duplicates(spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")).collect()}
+    assert len(met) > 130 and all(j == i + 1 and i % 2 == 0 for i, j in met)
+    assert {i: r["n_links"] for i, r in got.items()} == {i: want[i] for i in got}
+    assert all(got[i]["class_id"] == got[j]["class_id"] == i for i, j in met)
+
+
 def test_near_duplicates_odd(odd):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == odd.count()
