@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -54,20 +56,35 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256, text: int | None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or one for tests."""
+    """The folder that all executors share: ``spark.checkpoint.dir``, or, within one machine (tests), one of its own."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if where is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = tempfile.mkdtemp(prefix="sigloom-")
         spark.sparkContext.setCheckpointDir(where)
     return where
 
 
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
     """Cut lineage: write ``df`` once as Parquet to the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/sigloom/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop(df))
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -3,24 +3,38 @@
 A text's bag holds the bigrams of its words (lower-cased, ASCII punctuation as white space; a text
 of one word has that word), each as often as it occurs. Steps:
 
-1. One map computes each text's 64-bit id (JVM), its signature's band hashes and its bag (hashes of
-   the n-th occurrence of each bigram, sorted). Within a task, equal texts are sketched once. The
-   result is written once; the texts aren't shuffled.
-2. Texts of one band hash are a bucket. All members of a bucket are paired with each other, in
-   blocks, so that no key of the join holds more than two of them; equal pairs of several bands fall
-   together.
-3. Pairs are verified: their bags' exact multiset Jaccard overlap must reach ``threshold``.
-4. Classes are the connected components of the verified links (alternating large-star and
+1. One map computes each text's 64-bit id (JVM), its signature's band hashes, two bits of each
+   component of the signature (the sketch) and its bag (32-bit hashes of the n-th occurrence of
+   each bigram, sorted). Within a task, equal texts are sketched once. The result is written once;
+   the texts aren't shuffled.
+2. Texts of one band hash are a bucket, its leader is the smallest id. Each text is paired with its
+   leaders. Where the sketches agree so far beyond the threshold that the pair can hardly fail, one
+   leader is enough; these clear pairs make preliminary classes.
+3. Within each bucket all pairs across these classes are held against each other by their
+   sketches, within the join: pairs whose sketches agree less than the threshold's by DEVIATIONS
+   standard deviations are never written. Pairs inside a class aren't looked at, so a group of many
+   different copies costs rows in proportion to its size, not to its square.
+4. What remains is verified: the multiset Jaccard overlap of the bags must reach ``threshold``.
+   Should a clear pair fail, step 3 is repeated from the verified links alone. So every pair of a
+   bucket is either verified, or ruled out by its sketches, or inside one class already.
+5. Classes are the connected components of the verified links (alternating large-star and
    small-star steps on written tables). Copies (equal texts) share an id, hence a class, at no cost;
    they are never expanded into pairs.
+6. n_links counts, class by class and in blocks of bounded size, all partners that reach the
+   threshold; a link that no band caught is counted too. Only counts leave a block.
 
-Result: doc_id, class_id (the smallest doc_id of the class), n_links (other texts that share a
-bucket with it and reach the threshold), n_copies (rows with this very text, itself included). Every
-row gets one result row. Null counts as the empty text; texts without words are in a class with their exact copies only.
+Result: doc_id, class_id (the smallest doc_id of the class), n_links (different texts of the class
+whose overlap with it reaches the threshold), n_copies (rows with this very text, itself included).
+Every row gets one result row, repeated rows too. Null counts as the empty text; texts without
+words are in a class with their exact copies only. Long texts are one bag like any other; ties
+(classes by the smallest doc_id, a null one after all others) are settled by the smallest id of a
+text. Further columns aren't read, whatever their names, and ``keep_one`` returns them as they are.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import chain
 from zlib import crc32
@@ -31,10 +45,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bagminhash import U64, mix, signatures
-from .common import pieces, strings, written
+from .common import discard, pieces, strings, written
 
 THRESHOLD, BANDS, ROWS = 0.5, 50, 4
-BLOCK = 256  # members of a bucket that one block holds on average
+#: Texts of a bucket that one block holds on average; bytes of bags that one block of a class holds.
+BLOCK, BLOCK_BYTES = 2048, 4 << 20
+#: Standard deviations of the agreeing components of a sketch, to either side (3 in 100,000 lie beyond).
+DEVIATIONS = 4.0
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
 
 
@@ -85,61 +102,110 @@ def overlap(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def sketch(docs: DataFrame, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
+    planes = 2 * (bands * rows // 64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in pieces(batches, 512, text=2, limit=3 << 19):
             ids, texts = batch.column(1).to_pylist(), strings(batch.column(2))
             new = [i for i, t in enumerate(ids) if not (t in seen or seen.add(t))]
             band, bag = [None] * len(ids), [None] * len(ids)
+            bits = np.zeros((planes, len(ids)), dtype=np.int64)
             if new:
                 owner, element, weight, bags = bags_of([texts[i] for i in new])
-                found = band_hashes(signatures(owner, element, weight, len(new), bands * rows), bands, rows)
-                for i, hashes, own in zip(new, found, bags):
+                signature = signatures(owner, element, weight, len(new), bands * rows)
+                bits[:, new] = planes_of(signature, planes // 2)
+                for i, hashes, own in zip(new, band_hashes(signature, bands, rows), bags):
                     if len(own):
                         band[i], bag[i] = hashes, own.astype("<u4").tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(band, pa.list_(pa.int64())), pa.array(bag, pa.binary())],
-                names=["doc_id", "id", "bands", "bag"],
+                [batch.column(0), batch.column(1), pa.array(band, pa.list_(pa.int64())), pa.array(bag, pa.binary()), *map(pa.array, bits)],
+                names=["doc_id", "id", "bands", "bag", *(f"p{i}" for i in range(planes))],
             )
 
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("id"), text.alias("text")).mapInArrow(
-        run, "doc_id bigint, id bigint, bands array<bigint>, bag binary"
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("id"), text.alias("text")).mapInArrow(
+        run, ", ".join(["doc_id bigint, id bigint, bands array<bigint>, bag binary", *(f"p{i} bigint" for i in range(planes))])
     )
 
 
-def _pairs(members: DataFrame) -> DataFrame:
-    """(a, b), a < b: all pairs of each bucket, from distinct (band, id).
+def planes_of(signature: np.ndarray, words: int) -> np.ndarray:
+    """Two bits of each of the first 64 * words components, as 2 * words rows of 64-bit integers."""
+    h = mix(np.ascontiguousarray(signature[:, : 64 * words]).view(U64)).reshape(len(signature), words, 64)
+    place = U64(1) << np.arange(64, dtype=U64)
+    bits = [((h >> U64(s) & U64(1)) * place).sum(axis=2, dtype=U64) for s in (0, 1)]
+    return np.concatenate(bits, axis=1).T.astype(U64).view(np.int64)
+
+
+def _agreeing(planes: int) -> str:
+    """SQL for the number of components whose two bits agree in rows ``x`` and ``y``."""
+    half = planes // 2
+    return " + ".join(f"bit_count(~((x.p{i} ^ y.p{i}) | (x.p{half + i} ^ y.p{half + i})))" for i in range(half)) or "0"
+
+
+def _limits(threshold: float, planes: int) -> tuple[int, int]:
+    """Agreeing components below which a pair is out, and from which it is assumed to be in, until it is verified."""
+    n, p = 32 * planes, threshold + (1 - threshold) / 4
+    away = DEVIATIONS * math.sqrt(n * p * (1 - p))
+    return math.floor(n * p - away), math.ceil(n * p + away)
 
-    A large bucket is dealt to blocks, and each two of them (and each with itself) meet on their own.
+
+def _cross(rows: DataFrame, roots: DataFrame, least: int, planes: int) -> DataFrame:
+    """(a, b): the pairs of each bucket whose roots differ and whose sketches agree in ``least`` places.
+
+    The condition is part of the join: what fails it is never written. Buckets of more than BLOCK
+    texts are dealt to blocks: a large class has blocks of its own, whose texts don't meet each
+    other; smaller classes share blocks. Every two blocks that aren't of one class meet under a
+    key of their own, so that no key holds a whole bucket.
     """
-    blocks = members.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    dealt = members.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    met = met.select("band", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id")
-    one = met.withColumnsRenamed({"id": "a", "own": "own_a"})
-    two = met.withColumnsRenamed({"id": "b", "own": "own_b"})
-    return one.join(two, ["band", "lo", "hi"]).where("a < b and (lo = hi or own_a <> own_b)").select("a", "b").distinct()
+    rooted = rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    per_class = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = per_class.groupBy("band").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"), F.sum(F.when(F.col("n") <= BLOCK, F.col("n"))).alias("rest"))
+    mixed = mixed.where("classes > 1")
+    test = f"x.id <> y.id and x.root <> y.root and {_agreeing(planes)} >= {least}"
+    pair = (F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+
+    few = rooted.join(mixed.where(f"n <= {BLOCK}").select("band"), "band")
+    near = few.alias("x").join(few.alias("y"), F.expr(f"x.band = y.band and x.id < y.id and {test}")).select(*pair)
+
+    many = mixed.where(f"n > {BLOCK}").select("band", "rest")
+    large = per_class.where(f"n > {BLOCK}").select("band", "root", F.ceil(F.col("n") / BLOCK).alias("parts"))
+    dealt = rooted.join(many, "band").join(large, ["band", "root"], "left")
+    block = F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("root"), F.ceil(F.col("rest") / BLOCK))).otherwise(
+        F.xxhash64("root", F.pmod(F.xxhash64("id"), F.col("parts")))
+    )
+    dealt = dealt.withColumn("block", block).withColumn("own", F.when(F.col("parts").isNotNull(), F.col("root"))).drop("rest", "parts")
+    blocks = dealt.groupBy("band", "block").agg(F.first("own").alias("own"))
+    meets = blocks.alias("x").join(blocks.alias("y"), F.expr("x.band = y.band and x.block <= y.block and not (x.own <=> y.own and x.own is not null)"))
+    meets = meets.select("x.band", F.col("x.block").alias("lo"), F.col("y.block").alias("hi"))
+    one = dealt.withColumnRenamed("block", "lo").join(meets, ["band", "lo"])
+    two = dealt.withColumnRenamed("block", "hi").join(meets, ["band", "hi"])
+    far = one.alias("x").join(two.alias("y"), F.expr(f"x.band = y.band and x.lo = y.lo and x.hi = y.hi and (x.lo < x.hi or x.id < y.id) and {test}"))
+    return near.union(far.select(*pair)).distinct()
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """The pairs with ``hit``: whether their bags' overlap reaches the threshold."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 256):
             hit = [
                 overlap(np.frombuffer(x, dtype="<u4"), np.frombuffer(y, dtype="<u4")) >= threshold
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+                for x, y in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())
             ]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(hit, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(hit, pa.bool_())], names=["a", "b", "sure", "hit"])
 
     one = bags.select(F.col("id").alias("a"), F.col("bag").alias("bag_a"))
     two = bags.select(F.col("id").alias("b"), F.col("bag").alias("bag_b"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "bag_a", "bag_b").mapInArrow(run, "a bigint, b bigint")
+    return (
+        pairs.join(one, "a").join(two, "b").select("a", "b", "sure", "bag_a", "bag_b").mapInArrow(run, "a bigint, b bigint, sure boolean, hit boolean")
+    )
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, root) for every id in (a, b): root is the smallest id of its component."""
+    """(id, root) for every id in (a, b) but the roots: root is the smallest id of its component."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    state = None
+    state = before = None
     while True:
         # large star: each node's larger neighbours are linked to its smallest one
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -149,10 +215,126 @@ def components(links: DataFrame) -> DataFrame:
         low = edges.groupBy("u").agg(F.min("v").alias("m"))
         star = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         edges = written(star.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        if before is not None:
+            discard(before)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
-        state = now
+        state, before = now, edges
+
+
+def _counts(one: list[np.ndarray], two: list[np.ndarray] | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """How many bags of ``two`` each of ``one`` reaches the threshold with, and the reverse; ``one`` with itself if None."""
+    bags = one + (two or [])
+    n, cut = len(bags), len(one)
+    size = np.fromiter(map(len, bags), dtype=np.int64, count=n)
+    element, at = np.unique(np.concatenate(bags), return_inverse=True)
+    often = np.bincount(at, minlength=len(element))
+    owner = np.repeat(np.arange(n), size)
+    rows, cols = (slice(0, cut), slice(cut, n)) if two else (slice(0, n), slice(0, n))
+    both = np.zeros((rows.stop - rows.start, cols.stop - cols.start), dtype=np.float32)
+    # Elements of several bags only; so many columns at once that the table stays at 32 MB.
+    new = np.full(len(element), -1, dtype=np.int64)
+    shared = np.flatnonzero(often > 1)
+    new[shared] = np.arange(len(shared))
+    column, own = new[at], owner
+    column, own = column[column >= 0], own[column >= 0]
+    order = np.argsort(column, kind="stable")
+    column, own = column[order], own[order]
+    width = max(1, (8 << 20) // n)
+    for a in range(0, len(shared), width):
+        lo, hi = np.searchsorted(column, (a, a + width))
+        table = np.zeros((n, min(width, len(shared) - a)), dtype=np.float32)
+        table[own[lo:hi], column[lo:hi] - a] = 1
+        both += table[rows] @ table[cols].T
+    reach = both >= threshold * (size[rows, None] + size[None, cols] - both) * (1 - 1e-6)
+    if two is None:
+        np.fill_diagonal(reach, False)
+    return reach.sum(axis=1), reach.sum(axis=0)
+
+
+def degrees(links: DataFrame, members: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """(id, n_links): the other texts of its class that a text reaches the threshold with.
+
+    Classes of two have the one link that made them. The bags of a larger class meet in one group,
+    or, beyond BLOCK_BYTES, in blocks, every two of which meet in a group of their own. Only counts
+    leave a group, never its pairs.
+    """
+    size = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    pairs = members.join(size.where("n = 2"), "root").select("id", F.lit(1).cast("bigint").alias("n_links"))
+    own = members.join(size.where("n > 2").select("root"), "root").join(bags, "id")
+    blocks = own.groupBy("root").agg(F.ceil(F.sum(F.length("bag")) / BLOCK_BYTES).alias("blocks"))
+    dealt = own.join(blocks, "root").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    dealt = dealt.select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "id", "bag")
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+        bag = [np.frombuffer(x, dtype="<u4") for x in table["bag"].to_pylist()]
+        first = table["own"].to_numpy() == lo
+        ids = table["id"].to_numpy()
+        if lo == hi:
+            n, _ = _counts(bag, None, threshold)
+        else:
+            one, two = [b for b, f in zip(bag, first) if f], [b for b, f in zip(bag, first) if not f]
+            ids = np.concatenate((ids[first], ids[~first]))
+            n = np.concatenate(_counts(one, two, threshold)) if one and two else np.zeros(len(ids))
+        return pa.table({"id": ids, "n_links": n.astype(np.int64)})
+
+    found = dealt.groupBy("root", "lo", "hi").applyInArrow(run, "id bigint, n_links bigint")
+    return pairs.union(found.groupBy("id").agg(F.sum("n_links").alias("n_links")))
+
+
+def _search(docs: DataFrame, threshold: float, bands: int, rows: int, id_col: str, text_col: str):
+    """(ids of every row, verified links, (id, root) of the linked texts, bags of all candidates)."""
+    planes = 2 * (bands * rows // 64)
+    p = [f"p{i}" for i in range(planes)]
+    least, sure = _limits(threshold, planes)
+    sketches = written(sketch(docs, bands, rows, id_col, text_col), "sketches")
+    ids = written(sketches.select("id", "doc_id"), "ids")
+    marks = written(sketches.where("bands is not null").groupBy("id").agg(*(F.any_value(x).alias(x) for x in p)), "marks")
+    # Buckets of two texts or more, each with its leader, the smallest id; minima are taken before the exchange.
+    members = sketches.where("bands is not null").select(F.explode("bands").alias("band"), "id")
+    full = members.groupBy("band").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last").select("band", "leader")
+    shared = written(members.join(full, "band"), "buckets")
+    # Round 1: texts and their leaders. One leader is enough where the sketches leave no doubt.
+    led = shared.where("id <> leader").select("id", "leader").distinct()
+    led = led.join(marks.alias("x"), "id").join(marks.withColumnRenamed("id", "leader").alias("y"), "leader")
+    led = written(led.select("id", "leader", F.expr(_agreeing(planes)).alias("n")).where(f"n >= {least}"), "led")
+    clear = led.where(f"n >= {sure}").groupBy("id").agg(F.min("leader").alias("leader"))
+    pairs = clear.selectExpr("leader a", "id b", "true sure").union(led.where(f"n < {sure}").selectExpr("leader a", "id b", "false sure"))
+    roots = components(clear.selectExpr("leader a", "id b"))
+    # Round 2: all pairs across what round 1 joined. Should a clear pair fail its verification, once more from the verified links.
+    buckets = written(shared.select("band", "id").distinct().join(marks, "id"), "buckets")
+    discard(shared)
+    links = tried = None
+    while True:
+        cross = _cross(buckets, roots, least, planes).withColumn("sure", F.lit(False))
+        pairs = cross if tried is not None else pairs.union(cross)
+        pairs = pairs.groupBy("a", "b").agg(F.max("sure").alias("sure"))
+        pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+        if tried is not None:
+            wanted = wanted.union(links.select("a")).union(links.select("b"))
+        found = sketches.where("bag is not null").select("id", "bag").join(wanted.distinct(), "id", "left_semi")
+        bags = written(found.groupBy("id").agg(F.any_value("bag").alias("bag")), "bags")
+        verified = written(_verified(pairs, bags, threshold), "verified")
+        hits = verified.where("hit").select("a", "b")
+        links = hits if links is None else links.union(hits)
+        roots = components(links)
+        if verified.where("sure and not hit").isEmpty():
+            break
+        tried = verified.select("a", "b")
+    discard(sketches, buckets, led, marks)
+    return ids, links, roots, bags
+
+
+def _texts(ids: DataFrame, roots: DataFrame) -> DataFrame:
+    """id, n_copies, class_id of every different text."""
+    texts = ids.groupBy("id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_copies"))
+    texts = texts.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    return texts.join(texts.groupBy("root").agg(F.min("first").alias("class_id")), "root").select("id", "class_id", "n_copies")
 
 
 def near_duplicates(
@@ -164,39 +346,37 @@ def near_duplicates(
     text_col: str = "text",
 ) -> DataFrame:
     """id, doc_id, class_id, n_links, n_copies of every row; ``id`` is the text's."""
-    sketches = written(sketch(docs, bands, rows, id_col, text_col), "sketches")
-    # One exchange by band serves both sides of the join; only buckets of two texts or more matter from here on.
-    members = sketches.where("bands is not null").select(F.explode("bands").alias("band"), "id").repartition("band")
-    full = members.groupBy("band").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x < y").select("band")
-    shared = written(members.join(full, "band", "left_semi").distinct(), "buckets")
-    wanted = shared.select("id").distinct()
-    bags = written(
-        sketches.where("bag is not null").select("id", "bag").join(wanted, "id", "left_semi").groupBy("id").agg(F.any_value("bag").alias("bag")),
-        "bags",
-    )
-    links = written(_verified(_pairs(shared), bags, threshold), "links")
-    roots = components(links)
-    degree = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    texts = sketches.groupBy("id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n_copies"))
-    texts = texts.join(roots, "id", "left").join(degree, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    classes = texts.groupBy("root").agg(F.min("first").alias("class_id"))
-    texts = texts.join(classes, "root").select("id", "class_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"), "n_copies")
-    return sketches.select("id", "doc_id").join(texts, "id").select("id", "doc_id", "class_id", "n_links", "n_copies")
+    ids, links, roots, bags = _search(docs, threshold, bands, rows, id_col, text_col)
+    members = written(roots.union(roots.select("root", "root").distinct()), "members")
+    degree = written(degrees(links, members, bags, threshold), "degrees")
+    discard(bags)
+    texts = _texts(ids, roots).join(degree, "id", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("bigint")))
+    return ids.join(texts, "id").select("id", "doc_id", "class_id", "n_links", "n_copies")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+def keep_one(
+    docs: DataFrame,
+    threshold: float = THRESHOLD,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
     """One row of each class with all its columns: that of the smallest id.
 
-    Rows without an id count as larger than all; of rows that agree in id and text one stays.
+    Rows without an id count as larger than all; of rows that agree in id and text one stays. The
+    rows travel in a struct of their own, so that no name of theirs can clash with one in here.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
+    ids, _, roots, bags = _search(docs, threshold, bands, rows, id_col, text_col)
+    discard(bags)
+    found = ids.join(_texts(ids, roots), "id")
     stay = found.where("doc_id <=> class_id").groupBy("id", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.first("class_id").alias("class_id"))
     # Two texts of a class may share its smallest id: the one with the smaller text id stays.
     stay = stay.groupBy("class_id", "doc_id", F.when(F.col("class_id").isNull(), F.col("id")).alias("lone")).agg(F.min_by("id", "id").alias("id"), F.max("n").alias("n"))
-    stay = written(stay.select(F.col("id").alias("_text"), F.col("doc_id").alias("_doc"), "n"), "stay")
-    text = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    keyed = docs.withColumn("_own_text", text)
-    kept = keyed.join(stay, (F.col("_own_text") == F.col("_text")) & F.col(id_col).cast("bigint").eqNullSafe(F.col("_doc")), "left_semi")
+    stay = written(stay.select("id", "doc_id", "n"), "stay")
+    text = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    keyed = docs.select(F.struct("*").alias("row"), text.alias("text"), F.col(f"`{id_col}`").cast("bigint").alias("doc"))
+    kept = keyed.join(stay, (keyed["text"] == stay["id"]) & keyed["doc"].eqNullSafe(stay["doc_id"]), "left_semi")
     if not stay.where("n > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col, "_own_text"])
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+        kept = kept.dropDuplicates(["doc", "text"])
+    return kept.select("row.*")

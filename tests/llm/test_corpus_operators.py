@@ -193,7 +193,7 @@ def test_near_duplicates_query(spark, texts):
     classes, degree = brute_classes(texts)
     assert {i: r["class_id"] for i, r in got.items()} == classes
     copies = Counter(texts.values())
-    assert all(r["n_copies"] == copies[texts[i]] and (r["n_links"] > 0) == bool(degree[texts[i]]) for i, r in got.items())
+    assert all(r["n_copies"] == copies[texts[i]] and r["n_links"] == len(degree[texts[i]]) for i, r in got.items())
 
 
 def test_planted_copies(spark):
@@ -214,8 +214,9 @@ def test_planted_copies(spark):
 
 
 def test_links_of_many_near_copies(spark, monkeypatch):
-    """n_links is the full degree, also where a bucket is dealt to several blocks."""
+    """n_links is the full degree, also where a bucket and a class are dealt to several blocks."""
     monkeypatch.setattr(neardup, "BLOCK", 32)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 20000)
     rng = random.Random(6)
     words = ["w%d" % i for i in range(4000)]
     base = [rng.choice(words) for _ in range(200)]
@@ -231,8 +232,9 @@ def test_links_of_many_near_copies(spark, monkeypatch):
     assert {i: r["class_id"] for i, r in got.items()} == classes
 
 
-def test_pairs_among_passage_sharers(spark):
+def test_pairs_among_passage_sharers(spark, monkeypatch):
     """Pairs of overlap 0.54 in large buckets of texts that share a passage: each pair that meets in a bucket is a link."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
     rng = random.Random(7)
     words = ["w%d" % i for i in range(40000)]
     own = lambda n: [rng.choice(words) for _ in range(n)]
@@ -262,6 +264,29 @@ def test_near_duplicates_odd(odd):
     assert neardup.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_keep_one_leaves_names_alone(spark):
+    """Columns named like those within the operator come back as they were."""
+    rows = [(0, "a b c d", 1, "x", 7, 1.5, "u"), (1, "a b c d", 2, "y", 8, 2.5, "v"), (2, "e f g h", 3, None, 9, 3.5, "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id int, _own_text string, row int, doc double, `a.b` string")
+    kept = sorted(neardup.keep_one(docs).collect())
+    assert kept == [spark.createDataFrame(rows, docs.schema).collect()[i] for i in (0, 2)]
+
+
+def test_sketches_agree_as_overlaps():
+    """The share of agreeing components is t + (1 - t) / 4; equal texts agree in all."""
+    rng = random.Random(9)
+    words = ["w%d" % i for i in range(5000)]
+    base = [rng.choice(words) for _ in range(300)]
+    made = [" ".join(base), " ".join(base), " ".join(base[:200] + [rng.choice(words) for _ in range(100)]), " ".join(rng.choice(words) for _ in range(300))]
+    owner, element, weight, _ = neardup.bags_of(made)
+    bits = neardup.planes_of(bagminhash.signatures(owner, element, weight, 4, 200), 3).T
+    agree = lambda x, y: sum(bin(~((int(x[i]) ^ int(y[i])) | (int(x[3 + i]) ^ int(y[3 + i]))) & (1 << 64) - 1).count("1") for i in range(3))
+    assert agree(bits[0], bits[1]) == 192
+    for other in (2, 3):
+        t = jaccard(bag(made[0]), bag(made[other]))
+        assert abs(agree(bits[0], bits[other]) - 192 * (t + (1 - t) / 4)) < 28
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1100)]
