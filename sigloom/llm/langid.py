@@ -2,17 +2,20 @@
 
 Per language, character trigrams (over letters, lower-cased, with word boundaries, hashed into a
 table) give a likelihood for every word. A document is a mixture: expectation-maximisation
-estimates the proportions of the languages from its words' likelihoods. Sets of 1, 2, 3 ...
-languages, taken by their proportion, are then fitted again, and the set with the best penalised
-likelihood (half a logarithm of the words per free parameter) is selected. The prediction is the
-selected language with the largest proportion, and that proportion is the score.
+estimates the proportions of the languages from its words' likelihoods. Sets of 1, 2, 3 ... up to
+all languages, taken by their proportion, are then fitted again, and the set with the best
+penalised likelihood (a logarithm of the words per free parameter) is selected. Larger sets are
+fitted while they could still win: the mixture of all languages bounds what any set can reach. The
+prediction is the selected language with the largest proportion, and that proportion is the score.
 
 The models are fitted on a bounded sample: about ``per_language`` documents of each label (those
 with the smallest hashes of their ids), whole texts, of the rows where ``train`` holds. Everything
 else covers all rows. Prediction reads the text only and is one map over the table.
 
 Null texts and those without a letter are ``und`` with score 0, as is everything when no labelled
-row can be learned from; ties go to the language that sorts first; repeated rows are judged alike.
+row can be learned from; ties go to the language that sorts first; repeated rows are judged alike;
+long texts are judged whole; an empty table gives no rows. Other columns aren't read, whatever
+their names, and ``keep_identified`` returns them as they are.
 """
 
 from __future__ import annotations
@@ -31,9 +34,8 @@ from .common import pieces, strings
 BUCKETS = 1 << 16
 PER_LANGUAGE = 1500
 ROUNDS = 8
-MAX_SET = 3
-#: A second language is considered where the mixture gives it at least this share.
-SECOND = 0.03
+#: Nats that a set's likelihood may exceed that of the mixture of all languages by, as EM stops after ROUNDS.
+SLACK = 2.0
 
 
 @lru_cache(maxsize=1)
@@ -81,14 +83,15 @@ class Model:
         top = like.max(axis=1)
         share = np.exp(like - top[:, None])
         row = np.repeat(np.arange(len(docs)), size)
-        full = _mixture(share, row, start, size, np.full((len(docs), len(self.languages)), 1 / len(self.languages)))[0]
+        full, most = _mixture(share, row, start, size, np.full((len(docs), len(self.languages)), 1 / len(self.languages)))
+        most = most + np.add.reduceat(top, start) + SLACK
         order = np.argsort(-full, axis=1, kind="stable")
         single = np.add.reduceat(like, start, axis=0)
         best = np.zeros_like(full)
         best[np.arange(len(docs)), single.argmax(axis=1)] = 1
         value = single.max(axis=1)
-        for k in range(2, 1 + min(MAX_SET, len(self.languages))):
-            some = np.flatnonzero(full[np.arange(len(docs)), order[:, k - 1]] >= SECOND)
+        for k in range(2, 1 + len(self.languages)):
+            some = np.flatnonzero(most - (k - 1) * np.log(size + 1.0) > value)
             if not len(some):
                 break
             inside = np.isin(row, some)
@@ -127,7 +130,7 @@ def fit(
 ) -> Model:
     """Trigram models from a bounded sample of the labelled rows; only counts reach the driver."""
     labelled = docs.where(train).select(
-        F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")
+        F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")
     ).where("lang is not null and text is not null")
     totals = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = tuple(sorted(totals))
@@ -166,7 +169,7 @@ def identify(docs: DataFrame, model: Model, held_out: Column, id_col: str = "doc
             )
 
     return docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), held_out.alias("held_out"), F.col(text_col).cast("string").alias("text")
+        F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), held_out.alias("held_out"), F.col(f"`{text_col}`").cast("string").alias("text")
     ).mapInArrow(run, "doc_id bigint, held_out boolean, lang_pred string, score double, languages string")
 
 
