@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import json
+import math
 import os
 import zlib
 from bisect import bisect_right
@@ -42,8 +43,10 @@ from tokenizers import Tokenizer
 from .common import pieces, strings, written
 
 SIZE = 2048
-#: Fillings tried per sequence, nodes of one enumeration, nodes of the whole search (a dive to the end is one per pattern).
-WIDTH, FILL_NODES, NODES = 3, 400, 1200
+#: The dives: finished packings that are looked for, fillings tried per sequence, nodes of one enumeration.
+DIVES, WIDTH, FILL_NODES = 4, 3, 400
+#: The exact search: nodes of all its enumerations together.
+EXACT_NODES = 200_000
 
 Run = tuple[int, int, int, int, int, int]
 
@@ -169,22 +172,33 @@ def best_fit(counts: dict[int, int], size: int) -> list[Pattern]:
 
 
 def bin_completion(counts: dict[int, int], size: int = SIZE) -> tuple[list[Pattern], int]:
-    """Patterns with multiplicities, and the lower bound. Exact when its sequences equal the bound
-    or the search ends within NODES; else the best incumbent."""
+    """Patterns with multiplicities, and the number of sequences that no packing can do without.
+
+    First dives, whose work depends on the number of different lengths: each filling is applied as
+    often as the counts allow, WIDTH fillings of a space are tried, and the search ends after DIVES
+    finished packings, or as many nodes as these take. Then, if the lower bound isn't reached, the
+    exact search of ``completed``. The result is optimal if its sequences equal the number
+    returned; else it is the best incumbent.
+    """
     counts = {n: c for n, c in counts.items() if c}
     bound = lower_bound(counts, size)
     best = best_fit(counts, size)
     fewest = sum(times for _, times in best)
     total = sum(n * c for n, c in counts.items())
-    nodes = 0
+    nodes = dives = 0
+    most = math.inf
     stack = [(dict(counts), [], 0, 0)]
-    while stack and fewest > bound and nodes < NODES:
+    while stack and fewest > bound and dives < DIVES and nodes < most:
         left, made, used, waste = stack.pop()
         nodes += 1
         if not left:
+            dives += 1
+            most = min(most, nodes * DIVES)
             if used < fewest:
                 best, fewest = made, used
             continue
+        if nodes > DIVES * (len(counts) + 64) * 4:  # no dive has come to its end by far
+            break
         lengths = sorted(left)
         top = lengths[-1]
         left1 = {**left, top: left[top] - 1}
@@ -200,9 +214,83 @@ def bin_completion(counts: dict[int, int], size: int = SIZE) -> tuple[list[Patte
                     continue
             rest = {n: c - merged.get(n, 0) * times for n, c in left.items()}
             stack.append(({n: c for n, c in rest.items() if c}, [*made, (tuple(merged.items()), times)], used + times, waste + room * times))
+    if fewest > bound:
+        found, proven = completed(counts, size, fewest, bound)
+        if found is not None:
+            best, fewest = found, sum(times for _, times in found)
+        if proven:
+            bound = fewest
     return best, bound
 
 
+def completed(counts: dict[int, int], size: int, fewest: int, bound: int) -> tuple[list[Pattern] | None, bool]:
+    """A packing of less than ``fewest`` sequences, if one was found, and whether there is none better.
+
+    Branch and bound over one sequence at a time: every undominated filling around the largest
+    length left is enumerated and tried, least waste first; a branch ends when its waste, or the
+    lower bound of what is left, reaches the incumbent. Within EXACT_NODES the answer is exact.
+    """
+    total = sum(n * c for n, c in counts.items())
+    best, nodes = None, 0
+    seen: dict[tuple, int] = {}
+
+    def undominated(left: dict[int, int], room: int, spare: int) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
+        nonlocal nodes
+        lengths = sorted(n for n in left if left[n] and n <= room)
+        below = [0]
+        for n in lengths:
+            below.append(below[-1] + n * left[n])
+        out, todo = [], [(len(lengths), room, (), room + 1)]
+        while todo and nodes < EXACT_NODES:
+            at, space, taken, smallest = todo.pop()  # smallest: the least length of which some were left out
+            nodes += 1
+            if space - below[at] > spare:
+                continue
+            if at == 0:
+                if smallest > space:  # else it still fits: dominated
+                    out.append((space, taken))
+                continue
+            n = lengths[at - 1]
+            for k in range(min(left[n], space // n) + 1):
+                todo.append((at - 1, space - k * n, (*taken, (n, k)) if k else taken, smallest if k == left[n] else n))
+        return sorted(out, key=lambda f: (f[0], [(-n, -k) for n, k in f[1]]))
+
+    def children(left, waste):
+        top = max(left)
+        rest = {**left, top: left[top] - 1}
+        for room, filling in undominated(rest, size - top, (fewest - 1) * size - total - waste):
+            merged = {top: 1}
+            for n, k in filling:
+                merged[n] = merged.get(n, 0) + k
+            yield room, tuple(merged.items()), {n: c - merged.get(n, 0) for n, c in left.items() if c > merged.get(n, 0)}
+
+    made: list[Pattern] = []
+    stack = [(children(counts, 0), 0)]
+    while stack and fewest > bound and nodes < EXACT_NODES:
+        options, waste = stack[-1]
+        step = next(options, None)
+        if step is None:
+            stack.pop()
+            if made:
+                made.pop()
+            continue
+        room, pattern, left = step
+        used = len(made) + 1
+        if waste + room > (fewest - 1) * size - total:
+            continue
+        if not left:
+            if used < fewest:
+                best, fewest = [*made, (pattern, 1)], used
+            continue
+        state = tuple(sorted(left.items()))
+        if used + lower_bound(left, size) >= fewest or seen.get(state, math.inf) <= used:
+            continue
+        seen[state] = used
+        made.append((pattern, 1))
+        stack.append((children(left, waste + room), waste + room))
+    return best, fewest <= bound or (not stack and nodes < EXACT_NODES)
+
+
 def runs_of(patterns: list[Pattern]) -> list[Run]:
     """(length, first rank, pieces, copies per sequence, first sequence, offset of the first copy)."""
     out, rank, sequence = [], {}, 0
