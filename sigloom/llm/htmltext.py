@@ -10,8 +10,10 @@ siblings that score well beside it or are plain paragraphs.
 
 Blocks keep their page order. Character references are decoded, white space inside a block is one
 space (``br`` counts as white space), blocks are joined by an empty line. All steps are linear in
-the page. A null or empty page, and one without text, give an empty text; broken markup (unclosed
-or crossed tags, a page that ends within a tag) is read as far as it goes.
+the page, at any depth of nesting. A null or empty page, and one without text, give an empty text;
+broken markup (unclosed or crossed tags, a page that ends within a tag) is read as far as it goes.
+Ties between containers go to the one that begins first. Repeated rows are read each, an empty
+table gives no rows, other columns aren't read, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|<[!?][^>]*+>",
     re.S,
 )
-_ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?+|["'/=]""")
 _RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math object canvas audio video".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
@@ -42,7 +44,12 @@ _WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox banner breadcrumb breadcrumbs comment comments commentlist disqus reply replies "
     "respond cookie cookies consent gdpr notice notices notification alert popup modal overlay promo promotion promoted related recommended recommendations "
     "share sharing social sidebar sidebars side rail sponsor sponsored sponsor-links menu menus nav navbar navigation newsletter subscribe subscription signup "
-    "login search searchbox footer foot masthead topbar toolbar widget widgets paywall disclaimer pager pagination paging skip outbrain taboola header".split()
+    "login search searchbox footer foot masthead topbar toolbar widget widgets paywall disclaimer pager pagination paging skip outbrain taboola header page-header site-header".split()
+)
+#: Words that count within a compound name too (``site-footer``); the others may be part of any name.
+_PARTS = frozenset(
+    "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs commentlist comments consent cookie cookies disqus footer gdpr masthead nav "
+    "navbar newsletter outbrain paywall popup promo sidebar sponsored taboola topbar".split()
 )
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _CLOSES_P = frozenset(
@@ -83,7 +90,7 @@ def _dropped(tag: str, attributes: str, inside: bool) -> int:
     if tag == "header":
         return HEADINGS if inside else DROPPED
     if attributes and tag not in _NEVER:
-        for name, a, b, c in _ATTR.findall(attributes):
+        for name, a, b, c in _ATTR.findall(attributes):  # name and value by turns: a value never counts as a name
             name, value = name.lower(), (a or b or c).lower()
             if name == "role":
                 if value in _ROLES:
@@ -95,7 +102,7 @@ def _dropped(tag: str, attributes: str, inside: bool) -> int:
                     return DROPPED
             elif name in ("class", "id"):
                 for word in value.split():
-                    if word in _WORDS or not _WORDS.isdisjoint(re.split(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])", word)):
+                    if word in _WORDS or not _PARTS.isdisjoint(re.split(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])", word)):
                         if tag in _HEADING and word in ("header", "masthead"):
                             continue
                         return DROPPED
@@ -105,6 +112,8 @@ def _dropped(tag: str, attributes: str, inside: bool) -> int:
 def _parse(html: str) -> tuple[list[Node], list[Block]]:
     root = Node("#", None, KEPT, 0, False)
     nodes, blocks, stack = [root], [], [root]
+    where: dict[str, list[int]] = {}  # places of each open element in the stack, and of all that aren't inline
+    walls: list[int] = [0]
     block: Block | None = None
     depth_a = 0
     at, n = 0, len(html)
@@ -118,10 +127,7 @@ def _parse(html: str) -> tuple[list[Node], list[Block]]:
         if block is None:
             if piece.isspace():
                 return
-            owner = node
-            while owner.tag in _INLINE and owner.parent is not None:
-                owner = owner.parent
-            block = Block(owner)
+            block = Block(stack[walls[-1]])
             blocks.append(block)
         block.parts.append(piece)
         if depth_a:
@@ -130,8 +136,16 @@ def _parse(html: str) -> tuple[list[Node], list[Block]]:
     def pop_to(size: int) -> None:
         nonlocal depth_a
         while len(stack) > size:
-            if stack.pop().tag == "a":
+            gone = stack.pop()
+            where[gone.tag].pop()
+            if gone.tag == "a":
                 depth_a -= 1
+            if gone.tag not in _INLINE:
+                walls.pop()
+
+    def topmost(tags) -> int:
+        """Place in the stack of the topmost of these elements, 0 for none."""
+        return max((where[t][-1] for t in tags if where.get(t)), default=0)
 
     while at < n:
         m = _TOKEN.search(html, at)
@@ -149,17 +163,11 @@ def _parse(html: str) -> tuple[list[Node], list[Block]]:
         tag = tag.lower()
         inline = tag in _INLINE
         if m.group(1):
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    if not inline:
-                        block = None
-                    pop_to(i)
-                    break
-                if inline and stack[i].tag not in _INLINE:
-                    break
-            else:
-                if not inline:
-                    block = None
+            i = topmost((tag,))
+            if not inline:
+                block = None
+            if i and not (inline and i < walls[-1]):  # an inline element isn't ended from within a block inside it
+                pop_to(i)
             continue
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at) if not m.group(3).endswith("/") else None
@@ -180,12 +188,9 @@ def _parse(html: str) -> tuple[list[Node], list[Block]]:
         elif tag in ("td", "th") and block is not None:
             block.parts.append(" ")
         for what, until in ([_P] if tag in _CLOSES_P else []) + ([_CLOSES[tag]] if tag in _CLOSES else []):
-            for i in range(len(stack) - 1, max(0, len(stack) - 64), -1):
-                if stack[i].tag in what:
-                    pop_to(i)
-                    break
-                if stack[i].tag in until:
-                    break
+            i = topmost(what)
+            if i > topmost(until):
+                pop_to(i)
         parent = stack[-1]
         if parent.drop == DROPPED:
             drop = DROPPED
@@ -196,6 +201,9 @@ def _parse(html: str) -> tuple[list[Node], list[Block]]:
         node = Node(tag, parent, drop, len(nodes), parent.inside or tag in ("article", "main"))
         nodes.append(node)
         if not m.group(3).endswith("/") or not inline:
+            where.setdefault(tag, []).append(len(stack))
+            if not inline:
+                walls.append(len(stack))
             stack.append(node)
             if tag == "a":
                 depth_a += 1
