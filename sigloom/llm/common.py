@@ -87,6 +87,11 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def few_rows(df: DataFrame, most: int) -> DataFrame:
+    """``df``, a written table of a few bytes a row, to be broadcast if it has ``most`` rows at most; joined as any other beyond."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

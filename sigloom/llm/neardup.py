@@ -4,19 +4,20 @@ A text's bag holds the bigrams of its words (lower-cased, ASCII punctuation as w
 of one word has that word), each as often as it occurs. Steps:
 
 1. One map computes each text's 64-bit id (JVM), its signature's band hashes, two bits of each
-   component of the signature (the sketch) and its bag (32-bit hashes of the n-th occurrence of
-   each bigram, sorted). Within a task, equal texts are sketched once. The result is written once;
-   the texts aren't shuffled.
-2. Texts of one band hash are a bucket, its leader is the smallest id. Each text is paired with its
-   leaders. Where the sketches agree so far beyond the threshold that the pair can hardly fail, one
-   leader is enough; these clear pairs make preliminary classes.
-3. Within each bucket all pairs across these classes are held against each other by their
-   sketches, within the join: pairs whose sketches agree less than the threshold's by DEVIATIONS
-   standard deviations are never written. Pairs inside a class aren't looked at, so a group of many
-   different copies costs rows in proportion to its size, not to its square.
-4. What remains is verified: the multiset Jaccard overlap of the bags must reach ``threshold``.
-   Should a clear pair fail, step 3 is repeated from the verified links alone. So every pair of a
-   bucket is either verified, or ruled out by its sketches, or inside one class already.
+   component of the signature (the sketch). Within a task, equal texts are sketched once. The
+   result is written once; the texts aren't shuffled.
+2. Texts of one band hash are a bucket, its leader is the smallest id. Each text is taken together
+   with the leader that its sketch agrees with most, if that makes the threshold likely. This gives
+   preliminary classes; each of these links is verified later.
+3. Within each bucket what is of different classes is compared; pairs inside a class aren't looked
+   at, so a group of many different copies costs rows in proportion to its size, not to its square.
+   In buckets of FEW texts, pairs whose sketches agree less than the threshold's by DEVIATIONS
+   standard deviations are dropped within the join, and never written. Larger buckets meet block by
+   block, all bags of a block at once.
+4. Every link is verified: the multiset Jaccard overlap of the bags (32-bit hashes of the n-th
+   occurrence of each bigram, made for the texts that need them) must reach ``threshold``. Where
+   a link of step 2 fails, step 3 is repeated within its class from the verified links alone. So every pair of a
+   bucket is compared, or ruled out by its sketches, or inside one class already.
 5. Classes are the connected components of the verified links (alternating large-star and
    small-star steps on written tables). Copies (equal texts) share an id, hence a class, at no cost;
    they are never expanded into pairs.
@@ -45,12 +46,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bagminhash import U64, mix, signatures
-from .common import discard, pieces, strings, written
+from .common import discard, few_rows, pieces, strings, written
 
 THRESHOLD, BANDS, ROWS = 0.5, 50, 4
-#: Texts of a bucket that one block holds on average; bytes of bags that one block of a class holds.
-BLOCK, BLOCK_BYTES = 2048, 4 << 20
-#: Standard deviations of the agreeing components of a sketch, to either side (3 in 100,000 lie beyond).
+#: Texts of a bucket up to which its pairs are taken one by one; bytes of bags that one block of a larger one, or of a class, holds.
+FEW, BLOCK_BYTES = 64, 4 << 20
+#: Ids (8 bytes each) that are broadcast at most; more are joined by a shuffle.
+MOST_IDS = 4_000_000
+#: Standard deviations of the agreeing components of a sketch (3 in 100,000 lie beyond).
 DEVIATIONS = 4.0
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
 
@@ -109,7 +112,7 @@ def sketch(docs: DataFrame, bands: int, rows: int, id_col: str, text_col: str) -
         for batch in pieces(batches, 512, text=2, limit=3 << 19):
             ids, texts = batch.column(1).to_pylist(), strings(batch.column(2))
             new = [i for i, t in enumerate(ids) if not (t in seen or seen.add(t))]
-            band, bag = [None] * len(ids), [None] * len(ids)
+            band = [None] * len(ids)
             bits = np.zeros((planes, len(ids)), dtype=np.int64)
             if new:
                 owner, element, weight, bags = bags_of([texts[i] for i in new])
@@ -117,18 +120,40 @@ def sketch(docs: DataFrame, bands: int, rows: int, id_col: str, text_col: str) -
                 bits[:, new] = planes_of(signature, planes // 2)
                 for i, hashes, own in zip(new, band_hashes(signature, bands, rows), bags):
                     if len(own):
-                        band[i], bag[i] = hashes, own.astype("<u4").tobytes()
+                        band[i] = hashes
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(band, pa.list_(pa.int64())), pa.array(bag, pa.binary()), *map(pa.array, bits)],
-                names=["doc_id", "id", "bands", "bag", *(f"p{i}" for i in range(planes))],
+                [batch.column(0), batch.column(1), pa.array(band, pa.list_(pa.int64())), *map(pa.array, bits)],
+                names=["doc_id", "id", "bands", *(f"p{i}" for i in range(planes))],
             )
 
-    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("id"), text.alias("text")).mapInArrow(
-        run, ", ".join(["doc_id bigint, id bigint, bands array<bigint>, bag binary", *(f"p{i} bigint" for i in range(planes))])
+    return _keyed(docs, id_col, text_col).mapInArrow(
+        run, ", ".join(["doc_id bigint, id bigint, bands array<bigint>", *(f"p{i} bigint" for i in range(planes))])
     )
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("id"), text.alias("text"))
+
+
+def bags_for(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, bag) of the texts whose ids are in ``wanted``: made anew from the texts, as most texts need none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in pieces(batches, 512, text=1, limit=3 << 19):
+            ids, texts = batch.column(0).to_pylist(), strings(batch.column(1))
+            new = [i for i, t in enumerate(ids) if not (t in seen or seen.add(t))]
+            if new:
+                bags = bags_of([texts[i] for i in new])[3]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([ids[i] for i in new], pa.int64()), pa.array([b.astype("<u4").tobytes() for b in bags], pa.binary())], names=["id", "bag"]
+                )
+
+    texts = _keyed(docs, id_col, text_col).join(few_rows(wanted, MOST_IDS), "id", "left_semi").select("id", "text")
+    return texts.mapInArrow(run, "id bigint, bag binary").groupBy("id").agg(F.any_value("bag").alias("bag"))
+
+
 def planes_of(signature: np.ndarray, words: int) -> np.ndarray:
     """Two bits of each of the first 64 * words components, as 2 * words rows of 64-bit integers."""
     h = mix(np.ascontiguousarray(signature[:, : 64 * words]).view(U64)).reshape(len(signature), words, 64)
@@ -144,44 +169,76 @@ def _agreeing(planes: int) -> str:
 
 
 def _limits(threshold: float, planes: int) -> tuple[int, int]:
-    """Agreeing components below which a pair is out, and from which it is assumed to be in, until it is verified."""
+    """Agreeing components below which a pair is out, and those that the threshold gives on average."""
     n, p = 32 * planes, threshold + (1 - threshold) / 4
-    away = DEVIATIONS * math.sqrt(n * p * (1 - p))
-    return math.floor(n * p - away), math.ceil(n * p + away)
+    return math.floor(n * p - DEVIATIONS * math.sqrt(n * p * (1 - p))), math.ceil(n * p)
+
+
+def _mixed(rows: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (with ``root``) of the buckets that hold several classes: of those of FEW texts at most, and of the others."""
+    rooted = rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("n")).where("x < y")
+    return rooted.join(mixed.where(f"n <= {FEW}").select("band"), "band"), rooted.join(mixed.where(f"n > {FEW}").select("band"), "band")
 
 
-def _cross(rows: DataFrame, roots: DataFrame, least: int, planes: int) -> DataFrame:
-    """(a, b): the pairs of each bucket whose roots differ and whose sketches agree in ``least`` places.
+def _cross(few: DataFrame, least: int, planes: int) -> DataFrame:
+    """(a, b): the pairs of small buckets whose roots differ and whose sketches agree in ``least`` places.
 
-    The condition is part of the join: what fails it is never written. Buckets of more than BLOCK
-    texts are dealt to blocks: a large class has blocks of its own, whose texts don't meet each
-    other; smaller classes share blocks. Every two blocks that aren't of one class meet under a
-    key of their own, so that no key holds a whole bucket.
+    The condition is part of the join: what fails it is never written.
     """
-    rooted = rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    per_class = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = per_class.groupBy("band").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"), F.sum(F.when(F.col("n") <= BLOCK, F.col("n"))).alias("rest"))
-    mixed = mixed.where("classes > 1")
-    test = f"x.id <> y.id and x.root <> y.root and {_agreeing(planes)} >= {least}"
-    pair = (F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-
-    few = rooted.join(mixed.where(f"n <= {BLOCK}").select("band"), "band")
-    near = few.alias("x").join(few.alias("y"), F.expr(f"x.band = y.band and x.id < y.id and {test}")).select(*pair)
-
-    many = mixed.where(f"n > {BLOCK}").select("band", "rest")
-    large = per_class.where(f"n > {BLOCK}").select("band", "root", F.ceil(F.col("n") / BLOCK).alias("parts"))
-    dealt = rooted.join(many, "band").join(large, ["band", "root"], "left")
-    block = F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("root"), F.ceil(F.col("rest") / BLOCK))).otherwise(
-        F.xxhash64("root", F.pmod(F.xxhash64("id"), F.col("parts")))
-    )
-    dealt = dealt.withColumn("block", block).withColumn("own", F.when(F.col("parts").isNotNull(), F.col("root"))).drop("rest", "parts")
-    blocks = dealt.groupBy("band", "block").agg(F.first("own").alias("own"))
-    meets = blocks.alias("x").join(blocks.alias("y"), F.expr("x.band = y.band and x.block <= y.block and not (x.own <=> y.own and x.own is not null)"))
+    test = f"x.band = y.band and x.id < y.id and x.root <> y.root and {_agreeing(planes)} >= {least}"
+    return few.alias("x").join(few.alias("y"), F.expr(test)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
+def _joined(many: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that join what large buckets hold of different classes, each verified.
+
+    A bucket is dealt to blocks of bounded size: a large class has blocks of its own, whose texts
+    don't meet each other; smaller classes share blocks. Every two blocks that aren't of one class
+    meet in a group of their own, where all bags are compared. A group gives a spanning forest of
+    its links, never all of them.
+    """
+    bags = bags.join(few_rows(many.select("id").distinct(), MOST_IDS), "id", "left_semi")  # before they move
+    own = many.join(bags, "id")
+    per_class = own.groupBy("band", "root").agg(F.sum(F.length("bag")).alias("size"))
+    rest = per_class.where(f"size <= {BLOCK_BYTES}").groupBy("band").agg(F.ceil(F.sum("size") / BLOCK_BYTES).alias("rest"))
+    large = per_class.where(f"size > {BLOCK_BYTES}").select("band", "root", F.ceil(F.col("size") / BLOCK_BYTES).alias("parts"))
+    dealt = own.join(large, ["band", "root"], "left").join(rest, "band", "left")
+    block = F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("root"), F.col("rest"))).otherwise(F.xxhash64("root", F.pmod(F.xxhash64("id"), F.col("parts"))))
+    dealt = dealt.select("band", "id", "root", "bag", block.alias("block"), F.when(F.col("parts").isNotNull(), F.col("root")).alias("pure"))
+    blocks = dealt.groupBy("band", "block").agg(F.first("pure").alias("pure"))
+    meets = blocks.alias("x").join(blocks.alias("y"), F.expr("x.band = y.band and x.block <= y.block and coalesce(x.pure <> y.pure, true)"))
     meets = meets.select("x.band", F.col("x.block").alias("lo"), F.col("y.block").alias("hi"))
-    one = dealt.withColumnRenamed("block", "lo").join(meets, ["band", "lo"])
-    two = dealt.withColumnRenamed("block", "hi").join(meets, ["band", "hi"])
-    far = one.alias("x").join(two.alias("y"), F.expr(f"x.band = y.band and x.lo = y.lo and x.hi = y.hi and (x.lo < x.hi or x.id < y.id) and {test}"))
-    return near.union(far.select(*pair)).distinct()
+    sides = meets.withColumn("block", F.col("lo")).union(meets.where("lo < hi").withColumn("block", F.col("hi")))
+    met = dealt.join(sides, ["band", "block"]).select("band", "lo", "hi", "block", "id", "root", "bag")
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, (root, name) = table["id"].to_numpy(), (lambda r: (r[1], r[0]))(np.unique(table["root"].to_numpy(), return_inverse=True))
+        first = table["block"].to_numpy() == table["lo"][0].as_py()
+        bag = [np.frombuffer(x, dtype="<u4") for x in table["bag"].to_pylist()]
+        one, two = np.flatnonzero(first), np.flatnonzero(~first)
+        reach = _reach([bag[i] for i in one], [bag[i] for i in two] if len(two) else None, threshold)
+        two = two if len(two) else one
+        reach &= root[one][:, None] != root[two][None, :]
+        parent = np.arange(len(name))
+
+        def find(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        out = []
+        for i, j in zip(*np.nonzero(reach)):
+            x, y = find(root[one[i]]), find(root[two[j]])
+            if x != y:
+                parent[x] = y
+                out.append((ids[one[i]], ids[two[j]]))
+        found = np.array(out, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": found.min(axis=1), "b": found.max(axis=1)})
+
+    return met.groupBy("band", "lo", "hi").applyInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
@@ -223,8 +280,8 @@ def components(links: DataFrame) -> DataFrame:
         state, before = now, edges
 
 
-def _counts(one: list[np.ndarray], two: list[np.ndarray] | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """How many bags of ``two`` each of ``one`` reaches the threshold with, and the reverse; ``one`` with itself if None."""
+def _reach(one: list[np.ndarray], two: list[np.ndarray] | None, threshold: float) -> np.ndarray:
+    """Which bags of ``one`` (rows) reach the threshold with which of ``two``, or of ``one``, but themselves, if None."""
     bags = one + (two or [])
     n, cut = len(bags), len(one)
     size = np.fromiter(map(len, bags), dtype=np.int64, count=n)
@@ -250,10 +307,10 @@ def _counts(one: list[np.ndarray], two: list[np.ndarray] | None, threshold: floa
     reach = both >= threshold * (size[rows, None] + size[None, cols] - both) * (1 - 1e-6)
     if two is None:
         np.fill_diagonal(reach, False)
-    return reach.sum(axis=1), reach.sum(axis=0)
+    return reach
 
 
-def degrees(links: DataFrame, members: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
+def degrees(members: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     """(id, n_links): the other texts of its class that a text reaches the threshold with.
 
     Classes of two have the one link that made them. The bags of a larger class meet in one group,
@@ -275,11 +332,12 @@ def degrees(links: DataFrame, members: DataFrame, bags: DataFrame, threshold: fl
         first = table["own"].to_numpy() == lo
         ids = table["id"].to_numpy()
         if lo == hi:
-            n, _ = _counts(bag, None, threshold)
+            n = _reach(bag, None, threshold).sum(axis=1)
         else:
             one, two = [b for b, f in zip(bag, first) if f], [b for b, f in zip(bag, first) if not f]
             ids = np.concatenate((ids[first], ids[~first]))
-            n = np.concatenate(_counts(one, two, threshold)) if one and two else np.zeros(len(ids))
+            reach = _reach(one, two, threshold) if one and two else np.zeros((len(one), len(two)))
+            n = np.concatenate((reach.sum(axis=1), reach.sum(axis=0)))
         return pa.table({"id": ids, "n_links": n.astype(np.int64)})
 
     found = dealt.groupBy("root", "lo", "hi").applyInArrow(run, "id bigint, n_links bigint")
@@ -287,10 +345,10 @@ def degrees(links: DataFrame, members: DataFrame, bags: DataFrame, threshold: fl
 
 
 def _search(docs: DataFrame, threshold: float, bands: int, rows: int, id_col: str, text_col: str):
-    """(ids of every row, verified links, (id, root) of the linked texts, bags of all candidates)."""
+    """(id, doc_id) of every row, (id, root) of the linked texts but the roots, bags of all candidates."""
     planes = 2 * (bands * rows // 64)
     p = [f"p{i}" for i in range(planes)]
-    least, sure = _limits(threshold, planes)
+    least, likely = _limits(threshold, planes)
     sketches = written(sketch(docs, bands, rows, id_col, text_col), "sketches")
     ids = written(sketches.select("id", "doc_id"), "ids")
     marks = written(sketches.where("bands is not null").groupBy("id").agg(*(F.any_value(x).alias(x) for x in p)), "marks")
@@ -298,36 +356,39 @@ def _search(docs: DataFrame, threshold: float, bands: int, rows: int, id_col: st
     members = sketches.where("bands is not null").select(F.explode("bands").alias("band"), "id")
     full = members.groupBy("band").agg(F.min("id").alias("leader"), F.max("id").alias("last")).where("leader < last").select("band", "leader")
     shared = written(members.join(full, "band"), "buckets")
-    # Round 1: texts and their leaders. One leader is enough where the sketches leave no doubt.
+    # Each text and the leader that it agrees with most: preliminary classes, assumed until they are verified.
     led = shared.where("id <> leader").select("id", "leader").distinct()
     led = led.join(marks.alias("x"), "id").join(marks.withColumnRenamed("id", "leader").alias("y"), "leader")
-    led = written(led.select("id", "leader", F.expr(_agreeing(planes)).alias("n")).where(f"n >= {least}"), "led")
-    clear = led.where(f"n >= {sure}").groupBy("id").agg(F.min("leader").alias("leader"))
-    pairs = clear.selectExpr("leader a", "id b", "true sure").union(led.where(f"n < {sure}").selectExpr("leader a", "id b", "false sure"))
-    roots = components(clear.selectExpr("leader a", "id b"))
-    # Round 2: all pairs across what round 1 joined. Should a clear pair fail its verification, once more from the verified links.
+    led = led.select("id", "leader", F.expr(_agreeing(planes)).alias("n")).where(f"n >= {likely}")
+    assumed = written(led.groupBy("id").agg(F.max_by("leader", F.struct("n", "leader")).alias("a")).select("a", F.col("id").alias("b")), "assumed")
+    roots = components(assumed)
     buckets = written(shared.select("band", "id").distinct().join(marks, "id"), "buckets")
-    discard(shared)
-    links = tried = None
-    while True:
-        cross = _cross(buckets, roots, least, planes).withColumn("sure", F.lit(False))
-        pairs = cross if tried is not None else pairs.union(cross)
-        pairs = pairs.groupBy("a", "b").agg(F.max("sure").alias("sure"))
-        pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-        if tried is not None:
-            wanted = wanted.union(links.select("a")).union(links.select("b"))
-        found = sketches.where("bag is not null").select("id", "bag").join(wanted.distinct(), "id", "left_semi")
-        bags = written(found.groupBy("id").agg(F.any_value("bag").alias("bag")), "bags")
-        verified = written(_verified(pairs, bags, threshold), "verified")
-        hits = verified.where("hit").select("a", "b")
-        links = hits if links is None else links.union(hits)
+    discard(shared, marks)
+    few, many = _mixed(buckets, roots)
+    pairs = assumed.withColumn("sure", F.lit(True)).union(_cross(few, least, planes).withColumn("sure", F.lit(False)))
+    pairs = written(pairs.groupBy("a", "b").agg(F.max("sure").alias("sure")), "pairs")
+    many = written(many.select("band", "id", "root"), "large")
+    # Whoever is left out here for being in a class already is one of ``assumed``: no bag beyond these is ever asked for.
+    wanted = written(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(many.select("id")).distinct(), "wanted")
+    bags = written(bags_for(docs, wanted, id_col, text_col), "bags")
+    discard(sketches)
+    verified = written(_verified(pairs, bags, threshold), "verified")
+    hits = verified.where("hit").select("a", "b")
+    links = hits.union(written(_joined(many, bags, threshold), "joined"))
+    failed = verified.where("sure and not hit").select(F.col("b").alias("id"))
+    before, roots = roots, components(links)
+    if not failed.isEmpty():
+        # Some assumptions failed: the preliminary classes that they held together are compared within, from the verified links.
+        broken = failed.join(before, "id").select("root").distinct()
+        inside = written(before.join(broken, "root").select("id").union(broken).distinct(), "inside")
+        few, many = _mixed(buckets.join(few_rows(inside, MOST_IDS), "id", "left_semi"), roots)
+        many = written(many.select("band", "id", "root"), "large")
+        pairs = written(_cross(few, least, planes).withColumn("sure", F.lit(False)).join(verified.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        more = written(_verified(pairs, bags, threshold), "verified").where("hit").select("a", "b")
+        links = links.union(more).union(written(_joined(many, bags, threshold), "joined"))
         roots = components(links)
-        if verified.where("sure and not hit").isEmpty():
-            break
-        tried = verified.select("a", "b")
-    discard(sketches, buckets, led, marks)
-    return ids, links, roots, bags
+    discard(buckets, assumed)
+    return ids, roots, bags
 
 
 def _texts(ids: DataFrame, roots: DataFrame) -> DataFrame:
@@ -346,9 +407,9 @@ def near_duplicates(
     text_col: str = "text",
 ) -> DataFrame:
     """id, doc_id, class_id, n_links, n_copies of every row; ``id`` is the text's."""
-    ids, links, roots, bags = _search(docs, threshold, bands, rows, id_col, text_col)
+    ids, roots, bags = _search(docs, threshold, bands, rows, id_col, text_col)
     members = written(roots.union(roots.select("root", "root").distinct()), "members")
-    degree = written(degrees(links, members, bags, threshold), "degrees")
+    degree = written(degrees(members, bags, threshold), "degrees")
     discard(bags)
     texts = _texts(ids, roots).join(degree, "id", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("bigint")))
     return ids.join(texts, "id").select("id", "doc_id", "class_id", "n_links", "n_copies")
@@ -367,7 +428,7 @@ def keep_one(
     Rows without an id count as larger than all; of rows that agree in id and text one stays. The
     rows travel in a struct of their own, so that no name of theirs can clash with one in here.
     """
-    ids, _, roots, bags = _search(docs, threshold, bands, rows, id_col, text_col)
+    ids, roots, bags = _search(docs, threshold, bands, rows, id_col, text_col)
     discard(bags)
     found = ids.join(_texts(ids, roots), "id")
     stay = found.where("doc_id <=> class_id").groupBy("id", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.first("class_id").alias("class_id"))

@@ -215,7 +215,7 @@ def test_planted_copies(spark):
 
 def test_links_of_many_near_copies(spark, monkeypatch):
     """n_links is the full degree, also where a bucket and a class are dealt to several blocks."""
-    monkeypatch.setattr(neardup, "BLOCK", 32)
+    monkeypatch.setattr(neardup, "FEW", 8)
     monkeypatch.setattr(neardup, "BLOCK_BYTES", 20000)
     rng = random.Random(6)
     words = ["w%d" % i for i in range(4000)]
@@ -234,7 +234,8 @@ def test_links_of_many_near_copies(spark, monkeypatch):
 
 def test_pairs_among_passage_sharers(spark, monkeypatch):
     """Pairs of overlap 0.54 in large buckets of texts that share a passage: each pair that meets in a bucket is a link."""
-    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "FEW", 4)
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 20000)
     rng = random.Random(7)
     words = ["w%d" % i for i in range(40000)]
     own = lambda n: [rng.choice(words) for _ in range(n)]
