@@ -16,7 +16,10 @@ with others. What reaches the driver is bounded by the subword vocabulary and th
 The model's text is the base's: words in lower case, each with a space before it, then one end.
 Its score is the sum of log10 probabilities of these subwords. Null counts as the empty text, which
 is one end. Repeated rows are scored (and counted) each; without training documents every count is
-0 and the weights are the initial ones; an empty table gives no rows.
+0 and the weights are the initial ones; an empty table gives no rows; long texts are scored whole.
+Scores don't depend on the order of rows: chunks follow from ids and texts, each is trained and
+scored in the order of its texts, and weights are averaged as integers. Other columns aren't read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -115,6 +118,30 @@ def _training_ids(texts: list[bytes], words: list[bytes], sub: Subwords) -> tupl
     return np.concatenate(ids or [flat[:0]]), np.concatenate(lengths or [np.zeros(0, dtype=np.int64)])
 
 
+#: Weights are averaged as integers, so that their order doesn't matter.
+UNIT = 2.0**30
+
+
+def _mean(rows: DataFrame, chunks: int) -> np.ndarray:
+    """The mean of the chunks' weights: packed arrays, summed within tasks, then within fewer tasks, then here."""
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(attention.SIZE, dtype=np.int64)
+        for batch in batches:
+            flat = batch.column(0).flatten().to_numpy()
+            flat = flat if flat.dtype == np.int64 else np.round(flat.astype(np.float64) * UNIT).astype(np.int64)
+            out += flat.reshape(-1, attention.SIZE).sum(axis=0)
+        if out.any():
+            yield pa.RecordBatch.from_arrays([pa.array([out], pa.list_(pa.int64()))], names=["weights"])
+
+    parts = rows.mapInArrow(total, "weights array<bigint>")
+    parts = parts.repartition(max(1, math.isqrt(chunks))).mapInArrow(total, "weights array<bigint>")
+    n, out = rows.count(), np.zeros(attention.SIZE, dtype=np.int64)
+    for row in parts.toLocalIterator():  # one small array a task
+        out += np.array(row["weights"], dtype=np.int64)
+    return (out / (max(1, n) * UNIT)).astype(np.float32) if n else attention.pack(attention.initial())
+
+
 def score(
     docs: DataFrame,
     held_out: Column,
@@ -125,8 +152,8 @@ def score(
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     path = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), held_out.alias("held_out"), text.alias("text"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), held_out.alias("held_out"), text.alias("text"))
     size, n_train = rows.agg(F.sum(F.length("text")), F.count_if(~F.col("held_out"))).first()
     chunks = max(1, math.ceil((size or 0) / chunk_chars))
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
@@ -152,7 +179,7 @@ def score(
             for a in range(0, len(words), 65536):
                 part = words[a : a + 65536]
                 yield _row(at, part, number[a : a + 65536], None)
-            ids, lengths = _training_ids(texts.pop(at, []), [*own], sub)
+            ids, lengths = _training_ids(sorted(texts.pop(at, [])), [*own], sub)  # in an order that no shuffle changes
             w = attention.train(attention.initial(), ids, lengths, sub.class_of, STEPS)
             yield _row(at, [None], [0], attention.pack(w))
 
@@ -195,15 +222,11 @@ def score(
     seen[sub.end] = n_train
     per_class = np.bincount(sub.class_of, weights=seen + 0.05, minlength=attention.CLASSES + 1)
     within = np.log((seen + 0.05) / per_class[sub.class_of])
-    means = (
-        local.where("weights is not null").select(F.posexplode("weights").alias("at", "w")).groupBy("at").agg(F.avg("w").alias("w")).collect()
-    )
-    weights = attention.pack(attention.initial())
-    for row in means:  # as many as the model has parameters
-        weights[row["at"]] = row["w"]
+    weights = _mean(local.where("weights is not null").select("weights"), chunks)
     scale = n + 0.1 * (v + 1)
 
     def scored(docs: pa.Table, words: pa.Table) -> pa.Table:
+        docs = docs.sort_by([("doc_id", "ascending"), ("text", "ascending")])  # batches that no shuffle changes
         sub = subwords_of(path)
         scorer = attention.Scorer(attention.unpack(weights), sub.class_of, within)
         names = words["word"].to_pylist()

@@ -260,10 +260,13 @@ def _verified(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, root) for every id in (a, b) but the roots: root is the smallest id of its component."""
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    state = before = None
-    while True:
+    """(id, root) for every id in (a, b) but the roots: root is the smallest id of its component.
+
+    Rounds of large-star and small-star steps until every edge ends at a root.
+    """
+    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    while not edges.select("v").join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty() or not edges.groupBy("u").count().where("count > 1").isEmpty():
+        before = edges
         # large star: each node's larger neighbours are linked to its smallest one
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -272,12 +275,8 @@ def components(links: DataFrame) -> DataFrame:
         low = edges.groupBy("u").agg(F.min("v").alias("m"))
         star = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         edges = written(star.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        if before is not None:
-            discard(before)
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
-        state, before = now, edges
+        discard(before)
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
 
 
 def _reach(one: list[np.ndarray], two: list[np.ndarray] | None, threshold: float) -> np.ndarray:

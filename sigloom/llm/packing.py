@@ -45,8 +45,8 @@ from .common import pieces, strings, written
 SIZE = 2048
 #: The dives: finished packings that are looked for, fillings tried per sequence, nodes of one enumeration.
 DIVES, WIDTH, FILL_NODES = 4, 3, 400
-#: The exact search: nodes of all its enumerations together.
-EXACT_NODES = 200_000
+#: The exact search: steps of all its enumerations and of what it copies, together.
+EXACT_STEPS = 1_500_000
 
 Run = tuple[int, int, int, int, int, int]
 
@@ -228,22 +228,23 @@ def completed(counts: dict[int, int], size: int, fewest: int, bound: int) -> tup
 
     Branch and bound over one sequence at a time: every undominated filling around the largest
     length left is enumerated and tried, least waste first; a branch ends when its waste, or the
-    lower bound of what is left, reaches the incumbent. Within EXACT_NODES the answer is exact.
+    lower bound of what is left, reaches the incumbent. Within EXACT_STEPS the answer is exact.
     """
     total = sum(n * c for n, c in counts.items())
-    best, nodes = None, 0
+    best, steps = None, 0
     seen: dict[tuple, int] = {}
 
     def undominated(left: dict[int, int], room: int, spare: int) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
-        nonlocal nodes
+        nonlocal steps
         lengths = sorted(n for n in left if left[n] and n <= room)
+        steps += len(left)
         below = [0]
         for n in lengths:
             below.append(below[-1] + n * left[n])
         out, todo = [], [(len(lengths), room, (), room + 1)]
-        while todo and nodes < EXACT_NODES:
+        while todo and steps < EXACT_STEPS:
             at, space, taken, smallest = todo.pop()  # smallest: the least length of which some were left out
-            nodes += 1
+            steps += 1
             if space - below[at] > spare:
                 continue
             if at == 0:
@@ -251,7 +252,9 @@ def completed(counts: dict[int, int], size: int, fewest: int, bound: int) -> tup
                     out.append((space, taken))
                 continue
             n = lengths[at - 1]
-            for k in range(min(left[n], space // n) + 1):
+            most = min(left[n], space // n)
+            steps += most
+            for k in range(most + 1):
                 todo.append((at - 1, space - k * n, (*taken, (n, k)) if k else taken, smallest if k == left[n] else n))
         return sorted(out, key=lambda f: (f[0], [(-n, -k) for n, k in f[1]]))
 
@@ -266,7 +269,7 @@ def completed(counts: dict[int, int], size: int, fewest: int, bound: int) -> tup
 
     made: list[Pattern] = []
     stack = [(children(counts, 0), 0)]
-    while stack and fewest > bound and nodes < EXACT_NODES:
+    while stack and fewest > bound and steps < EXACT_STEPS:
         options, waste = stack[-1]
         step = next(options, None)
         if step is None:
@@ -282,13 +285,16 @@ def completed(counts: dict[int, int], size: int, fewest: int, bound: int) -> tup
             if used < fewest:
                 best, fewest = [*made, (pattern, 1)], used
             continue
+        steps += 2 * len(left)
         state = tuple(sorted(left.items()))
-        if used + lower_bound(left, size) >= fewest or seen.get(state, math.inf) <= used:
+        least = lower_bound(left, size) if len(left) <= 64 else -(-sum(n * c for n, c in left.items()) // size)
+        steps += len(left) ** 2 if len(left) <= 64 else 0
+        if used + least >= fewest or seen.get(state, math.inf) <= used:
             continue
         seen[state] = used
         made.append((pattern, 1))
         stack.append((children(left, waste + room), waste + room))
-    return best, fewest <= bound or (not stack and nodes < EXACT_NODES)
+    return best, fewest <= bound or (not stack and steps < EXACT_STEPS)
 
 
 def runs_of(patterns: list[Pattern]) -> list[Run]:
