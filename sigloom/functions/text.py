@@ -5,8 +5,12 @@ White space is Unicode's throughout, as the sources' texts hold no-break spaces.
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import vocab
 
@@ -109,26 +113,42 @@ def article_start(x, after: int = 500) -> Column:
     return F.when(at > 0, at + after).otherwise(0)
 
 
+_BLANK = re.compile(r"\n\s*\n")
+
+
+def packed(text: str, limit: int) -> list[str]:
+    """The chunks of one text, in one pass over its paragraphs."""
+    if len(text) <= limit:
+        return [text]
+    out: list[str] = []
+    now: list[str] = []
+    size = 0
+    for p in _BLANK.split(text):
+        if len(p) > limit:
+            if now:
+                out.append("\n\n".join(now))
+                now, size = [], 0
+            out += [p[i : i + limit] for i in range(0, len(p), limit)]
+        elif now and size + 2 + len(p) > limit:
+            out.append("\n\n".join(now))
+            now, size = [p], len(p)
+        else:
+            size += len(p) + 2 * bool(now)
+            now.append(p)
+    return [*out, "\n\n".join(now)] if now else out
+
+
 def chunks(x, limit: int) -> Column:
     """A text that fits is one chunk; else paragraphs packed greedily, joined by an empty line.
 
-    A paragraph beyond the limit ends the chunk before it and is cut into chunks of its own.
+    A paragraph beyond the limit ends the chunk before it and is cut into chunks of its own. Work is
+    linear in the text; a native fold would build each chunk anew with every paragraph.
     """
-    whole = _c(x)
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("now"))
-    closed = lambda acc: F.when(acc["now"].isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["now"])))
-
-    def step(acc, p):
-        long = F.length(p) > limit
-        cut = F.transform(F.sequence(F.lit(0), ((F.length(p) - 1) / limit).cast("int")), lambda i: F.substring(p, i * limit + 1, F.lit(limit)))
-        joined = F.when(acc["now"].isNull(), p).otherwise(F.concat(acc["now"], F.lit("\n\n"), p))
-        fits = F.length(joined) <= limit
-        return F.struct(
-            F.when(long, F.concat(closed(acc), cut)).when(fits, acc["done"]).otherwise(closed(acc)).alias("done"),
-            F.when(long, F.lit(None)).when(fits, joined).otherwise(p).alias("now"),
-        )
-
-    return F.when(F.length(whole) <= limit, F.array(whole)).otherwise(F.aggregate(F.split(whole, r"(?U)\n\s*\n"), start, step, closed))
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: packed(t, limit) if isinstance(t, str) else None)
+
+    return F.pandas_udf(run, T.ArrayType(T.StringType()))(_c(x))
 
 
 def indicator_name(pattern) -> Column:

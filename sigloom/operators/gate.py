@@ -9,6 +9,7 @@ from .. import vocab
 from ..functions import jsontext, scalar, text
 
 VERDICT = "struct<score:string,matched_pir_ids:array<string>,rationale:string>"
+READ = "struct<score:double,matched_pir_ids:array<string>,rationale:string,failed:boolean,salvaged:boolean>"
 IOC = "array<struct<type:string,value:string,confidence:double,context_snippet:string>>"
 
 
@@ -42,6 +43,22 @@ def boosted(score: Column, failed: Column, body: Column, names: list[str], boost
     return F.when(F.coalesce(named, F.lit(False)) & ~failed, F.least(F.lit(1.0), score + boost)).otherwise(score)
 
 
+def high_value_names(identities: DataFrame) -> DataFrame:
+    """(name) of the identities that are marked as targets of impersonation."""
+    return identities.where("is_high_value_impersonation_target").select(text.strip("name").alias("name")).where("name <> ''").distinct()
+
+
+def contexts(sources: DataFrame, pirs: DataFrame, everything: Column, short: Column) -> DataFrame:
+    """(pir_ids, context): for each set of requirements that sources are restricted to, their short forms as a JSON list.
+
+    The empty set stands for all of them (``everything``). A set's members are joined by id.
+    """
+    sets = sources.select(F.coalesce("pir_ids", F.array().cast("array<string>")).alias("pir_ids")).distinct()
+    some = sets.select("pir_ids", F.explode(F.array_distinct("pir_ids")).alias("pir_id")).join(pirs.select("pir_id", "pos", short.alias("s")), "pir_id")
+    listed = some.groupBy("pir_ids").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))), lambda x: x["s"])).alias("context"))
+    return sets.join(listed, "pir_ids", "left").withColumn("context", F.when(F.size("pir_ids") == 0, everything).otherwise(F.coalesce("context", F.lit("[]"))))
+
+
 def iocs(responses: DataFrame, json_col: str = "json", url: str = "url") -> DataFrame:
     """Valid indicators, one per row: known type, a value of 1 to 512 characters, confidence in [0, 1], no other keys.
 

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import vocab
+from ..functions import pattern as grammar
 from ..functions import scalar, text
+from . import state
 from .relational import first_of, small
 
 _NONE = "array<string>"
@@ -66,17 +72,12 @@ def defaults(nodes: DataFrame, now: Column) -> DataFrame:
     )
 
 
-#: Bracketed observations joined by AND, OR and FOLLOWEDBY, with qualifiers: a conservative check.
-_COMPARISON = r"[\w-]+:[\w.\[\]*'-]+\s+(?:NOT\s+)?(?:=|!=|<=?|>=?|IN|LIKE|MATCHES|ISSUBSET|ISSUPERSET)\s+.+|[\w-]+:[\w.'-]+\s*(?:=|!=|<=?|>=?)\s*.+"
-
-
 def valid_pattern(pattern: str | Column, pattern_type: str | Column) -> Column:
-    """Whether an indicator's pattern is there, and has the outline of a pattern where its type is stix."""
+    """Whether an indicator's pattern is there, and is one by its grammar where its type is stix."""
     p = F.col(pattern) if isinstance(pattern, str) else pattern
     kind = F.col(pattern_type) if isinstance(pattern_type, str) else pattern_type
-    balanced = F.regexp_count(p, F.lit(r"\[")) == F.regexp_count(p, F.lit(r"\]"))
-    outline = text.strip(p).rlike(rf"^\(*\s*\[(?:{_COMPARISON})\]") & balanced & (F.regexp_count(p, F.lit("(?<!\\\\)'")) % 2 == 0)
-    return F.coalesce((text.strip(p) != "") & ((F.coalesce(kind, F.lit("stix")) != "stix") | outline), F.lit(False))
+    stix = F.coalesce(kind, F.lit("stix")) == "stix"
+    return F.coalesce((text.strip(p) != "") & (~stix | grammar.valid(F.when(stix, p))), F.lit(False))
 
 
 def assemble_nodes(merged: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
@@ -89,16 +90,8 @@ def assemble_nodes(merged: DataFrame, now: Column) -> tuple[DataFrame, DataFrame
         (F.col("type") == "vulnerability") & cve.isNull(), "no_cve"
     )
     judged = merged.withColumns({"_cve": cve, "reason": reason})
-    attack = F.get(
-        F.transform(
-            F.filter(
-                F.coalesce("external_references", F.expr("cast(array() as array<struct<source_name:string,external_id:string,url:string>>)")),
-                lambda r: r["source_name"].isin("mitre-attack", "mitre-mobile-attack") & (text.strip(r["external_id"]) != ""),
-            ),
-            lambda r: r["external_id"],
-        ),
-        F.lit(0),
-    )
+    known = F.filter("external_references", lambda r: r["source_name"].isin("mitre-attack", "mitre-mobile-attack") & (text.strip(r["external_id"]) != ""))
+    attack = F.get(F.transform(known, lambda r: r["external_id"]), F.lit(0))
     kept = judged.where("reason is null").withColumn("name", F.when(F.col("type") == "vulnerability", F.col("_cve")).otherwise(F.col("name")))
     # A node without a natural key gets an id that its document and place determine: retries agree.
     own = scalar.uuid5(vocab.NS_ENTITY, F.concat_ws("\0", F.col("doc_id").cast("string"), "canonical"))
@@ -177,34 +170,85 @@ def identity_links(edges: DataFrame, nodes: DataFrame, resolved: DataFrame) -> t
     return made, linked.select("doc_id", "relationship_type", "source_ref", "target_ref", "confidence", "description")
 
 
+def extension(stamp: Column) -> Column:
+    """The definition that declares the engine's own properties, as a JSON text."""
+    fixed = {"type": "extension-definition", "id": vocab.EXTENSION_ID, "spec_version": "2.1"}
+    more = {"name": "bundle metadata", "description": vocab.EXTENSION_TEXT, "schema": vocab.EXTENSION_SCHEMA, "version": vocab.EXTENSION_VERSION}
+    lists = {"extension_types": ("toplevel-property-extension", "new-sdo"), "extension_properties": vocab.EXTENSION_PROPERTIES}
+    return F.to_json(
+        F.struct(
+            *(F.lit(v).alias(k) for k, v in fixed.items()),
+            stamp.alias("created"),
+            stamp.alias("modified"),
+            *(F.lit(v).alias(k) for k, v in more.items()),
+            *(F.array(*map(F.lit, v)).alias(k) for k, v in lists.items()),
+        )
+    )
+
+
+META = ("source_url", "collected_at", "matched_pir_ids", "relevance_score", "relevance_rationale")
+
+
 def bundles(nodes: DataFrame, edges: DataFrame, now: Column, meta: DataFrame | None = None) -> DataFrame:
     """(doc_id, bundle) with one JSON document each; nulls and empty lists are left out.
 
     A bundle holds what one document gave, so that its group is bounded by the document. ``meta``
-    (doc_id and further columns) becomes properties of the envelope.
+    (doc_id and any of META) becomes properties of the envelope. A bundle with such properties, or
+    with nodes of the engine's own types or accounts, begins with their definition.
     """
     stamp = scalar.wire_time(now)
     wire = {"spec_version": F.lit("2.1"), "created": stamp, "modified": stamp}
     as_json = lambda df, drop: F.to_json(F.struct(*(F.col(c) for c in df.columns if c not in drop)))
+    own = F.col("type").isin(vocab.ASSET_NODE, vocab.IDENTITY_NODE, "user-account")
     n = nodes.withColumns(wire)
-    n = n.select("doc_id", F.lit(0).alias("part"), F.col("id").alias("key"), as_json(n, {"doc_id", "canonical", "chunk", "ord", "n_merged"}).alias("o"))
+    n = n.select(
+        "doc_id", F.lit(0).alias("part"), F.col("id").alias("key"), own.alias("own"), as_json(n, {"doc_id", "canonical", "chunk", "ord", "n_merged"}).alias("o")
+    )
     rid = F.concat(F.lit("relationship--"), scalar.uuid5(vocab.NS_ENTITY, F.concat_ws("\0", F.col("doc_id").cast("string"), "source_ref", "relationship_type", "target_ref")))
     e = edges.withColumns({"type": F.lit("relationship"), "id": rid, **wire})
-    e = e.select("doc_id", F.lit(1).alias("part"), F.col("id").alias("key"), as_json(e, {"doc_id", "chunk", "ord"}).alias("o"))
-    grouped = n.unionByName(e).dropDuplicates(["doc_id", "key"]).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("part", "key", "o"))).alias("os"))
+    e = e.select("doc_id", F.lit(1).alias("part"), F.col("id").alias("key"), F.lit(False).alias("own"), as_json(e, {"doc_id", "chunk", "ord"}).alias("o"))
+    grouped = n.unionByName(e).dropDuplicates(["doc_id", "key"]).groupBy("doc_id")
+    grouped = grouped.agg(F.array_sort(F.collect_list(F.struct("part", "key", "o"))).alias("os"), F.bool_or("own").alias("extended"))
     envelope = F.concat(
         F.lit('{"type":"bundle","id":"bundle--'),
         scalar.uuid5(vocab.NS_ENTITY, F.concat(F.lit("bundle\0"), F.col("doc_id").cast("string"))),
         F.lit('"'),
     )
+    extended = F.coalesce("extended", F.lit(False))
     if meta is not None:
-        grouped = grouped.join(meta, "doc_id", "left")
-        extra = F.to_json(F.struct(*(F.col(c) for c in meta.columns if c != "doc_id")))
+        given = [c for c in META if c in meta.columns]
+        grouped = grouped.join(meta.select("doc_id", *given), "doc_id", "left")
+        value = {c: F.col(c) for c in given}
+        if "relevance_rationale" in value:
+            value["relevance_rationale"] = F.nullif("relevance_rationale", F.lit(""))
+        if "source_url" in value:
+            value["collected_at"] = F.when(F.col("source_url").isNotNull(), F.coalesce(value.get("collected_at", F.lit(None).cast("string")), stamp))
+        extra = F.to_json(F.struct(*(v.alias(f"{vocab.PROPERTY}{c}") for c, v in value.items())))
+        extended = extended | (F.length(extra) > 2)
         envelope = F.concat(envelope, F.when(F.length(extra) > 2, F.concat(F.lit(","), F.substring(extra, F.lit(2), F.length(extra) - 2))).otherwise(""))
-    body = F.array_join(F.transform("os", lambda o: o["o"]), ",")
+    declared = f',"extensions":{{"{vocab.EXTENSION_ID}":{{"extension_type":"toplevel-property-extension"}}}}'
+    envelope = F.concat(envelope, F.when(extended, declared).otherwise(""))
+    listed = F.transform("os", lambda o: o["o"])
+    body = F.array_join(F.when(extended, F.concat(F.array(extension(stamp)), listed)).otherwise(listed), ",")
     return grouped.select("doc_id", F.concat(envelope, F.lit(',"objects":['), body, F.lit("]}")).alias("bundle"))
 
 
+def hashed_references(nodes: DataFrame, cache: DataFrame, fetched: DataFrame | None, now: Column, ttl_days: int = 30) -> tuple[DataFrame, DataFrame]:
+    """Nodes whose external references with a URL carry its content's hash, and the cache after that.
+
+    See ``state.with_hashes``. References keep their order; those without a URL stay as they are.
+    """
+    flat = nodes.select("doc_id", "canonical", F.posexplode("external_references").alias("pos", "r"))
+    refs, after = state.with_hashes(flat.withColumn("url", F.nullif("r.url", F.lit(""))), cache, fetched, now, ttl_days)
+    hashes = F.when(F.col("sha256").isNotNull(), F.create_map(F.lit("SHA-256"), F.col("sha256")))
+    one = F.struct("pos", F.struct("r.source_name", "r.external_id", "r.url", hashes.alias("hashes")).alias("r"))
+    listed = refs.groupBy("doc_id", "canonical").agg(F.collect_list(one).alias("rs"))
+    order = F.array_sort("rs", lambda a, b: a["pos"] - b["pos"])
+    listed = listed.select("doc_id", "canonical", F.transform(order, lambda r: r["r"]).alias("_refs"))
+    joined = nodes.join(listed, ["doc_id", "canonical"], "left")
+    return joined.withColumn("external_references", F.col("_refs")).drop("_refs"), after
+
+
 # --- taxonomy ---------------------------------------------------------------------------------
 
 
@@ -256,3 +300,45 @@ def enrich(actors: DataFrame, index: DataFrame, key: str = "id") -> DataFrame:
     joined = actors.join(found, key, "left").withColumn("_before", F.coalesce("labels", none))
     labels = F.array_union("_before", F.coalesce("_tags", none))
     return joined.withColumns({"labels": F.when(F.size(labels) > 0, labels), "n_added": F.size(labels) - F.size(F.array_distinct("_before"))}).drop("_tags", "_before")
+
+
+@F.pandas_udf(T.StringType())
+def _labelled(objects: pd.Series, labels: pd.Series) -> pd.Series:
+    return pd.Series([json.dumps({**json.loads(o), "labels": list(tags)}, ensure_ascii=False) for o, tags in zip(objects, labels)], dtype=object)
+
+
+def enriched_bundles(texts: DataFrame, index: DataFrame, path: str = "path", value: str = "value") -> DataFrame:
+    """(path, value, n_enriched): bundles whose actors carry the tags of the groups that they name.
+
+    Only objects that gain a tag are rewritten; the others, and their order, stay. A text that isn't
+    a bundle comes back as it is.
+    """
+    parsed = texts.select(F.col(path).alias("path"), F.col(value).alias("value"), F.try_parse_json(value).alias("v"))
+    objects = parsed.select("path", F.posexplode(F.try_variant_get("v", "$.objects", "array<variant>")).alias("pos", "o"))
+    many = "array<string>"
+    objects = objects.select(
+        "path",
+        "pos",
+        F.to_json("o").alias("json"),
+        F.try_variant_get("o", "$.type", "string").alias("type"),
+        F.try_variant_get("o", "$.name", "string").alias("name"),
+        F.try_variant_get("o", "$.aliases", many).alias("aliases"),
+        F.try_variant_get("o", "$.labels", many).alias("labels"),
+    )
+    objects = objects.withColumn("key", F.struct("path", "pos"))
+    actors = objects.where(F.col("type").isin("threat-actor", "intrusion-set") & F.col("name").isNotNull())
+    gained = enrich(actors, index, "key").where("n_added > 0")
+    changed = gained.select("path", "pos", _labelled("json", "labels").alias("json"), F.lit(1).alias("n"))
+    kept = objects.select("path", "pos", "json", F.lit(0).alias("n")).join(changed.select("path", "pos"), ["path", "pos"], "left_anti")
+    listed = kept.unionByName(changed).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("pos", "json"))).alias("os"), F.sum("n").alias("n"))
+    keys = F.map_from_entries(F.filter(F.map_entries(F.from_json(F.to_json("v"), "map<string,variant>")), lambda e: e["key"] != "objects"))
+    rest = F.to_json(keys)
+    rebuilt = F.concat(
+        F.when(F.length(rest) > 2, F.concat(F.substring(rest, F.lit(1), F.length(rest) - 1), F.lit(","))).otherwise("{"),
+        F.lit('"objects":['),
+        F.array_join(F.transform("os", lambda o: o["json"]), ","),
+        F.lit("]}"),
+    )
+    return parsed.join(listed, "path", "left").select(
+        "path", F.when(F.col("n") > 0, rebuilt).otherwise(F.col("value")).alias("value"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n_enriched")
+    )

@@ -119,7 +119,7 @@ def check_identities(t: dict[str, DataFrame], assets: DataFrame) -> DataFrame:
 
 
 def identity_fields(t: dict[str, DataFrame]) -> DataFrame:
-    late = (F.col("granted_at") != "") & (F.col("revoked_at") != "") & (F.col("granted_at") > F.col("revoked_at"))
+    late = (F.col("granted_at") != "") & (F.col("revoked_at") != "") & (F.col("granted_at") >= F.col("revoked_at"))
     return union(
         [
             check_rules(
@@ -151,7 +151,7 @@ def check_accounts(t: dict[str, DataFrame], assets: DataFrame, identities: DataF
 
 
 def account_fields(t: dict[str, DataFrame]) -> DataFrame:
-    late = (F.col("first_seen") != "") & (F.col("last_seen") != "") & (F.col("first_seen") > F.col("last_seen"))
+    late = (F.col("first_seen") != "") & (F.col("last_seen") != "") & (F.col("first_seen") >= F.col("last_seen"))
     return union(
         [
             check_rules(
@@ -182,7 +182,7 @@ def check_pirs(pirs: DataFrame, tags: DataFrame, assets: DataFrame | None = None
 def pir_fields(pirs: DataFrame) -> DataFrame:
     return check_rules(
         pirs,
-        [("PIR_SCHEMA", "pir_id", blank("pir_id")), ("PIR_SCHEMA", "valid_until", F.col("valid_from") > F.col("valid_until"))],
+        [("PIR_SCHEMA", "pir_id", blank("pir_id")), ("PIR_SCHEMA", "valid_until", F.col("valid_from") >= F.col("valid_until"))],
         at("pir"),
     )
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions import scalar
+
 #: name, event, field, fold: last (the last value wins), sum, max, any (the event occurred), count
 FOLDS = (
     ("input_chars", "url_converted", "chars", "last"),
@@ -66,9 +71,53 @@ def drop_counts(kept: DataFrame, dropped: DataFrame, by: list[str]) -> DataFrame
     return kept.select(*by, F.lit("kept").alias("reason")).unionByName(dropped.select(*by, "reason")).groupBy(*by, "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+class RunLog:
+    """The life of runs on the driver: each event is a row (run_id, seq, event, payload) for :func:`fold`.
+
+    A run is an id, not a thread; several may be open at once.
+    """
+
+    def __init__(self, now: Callable[[], str]):
+        self.now, self.rows, self.open = now, [], {}
+
+    def start(self, run_id: str, **payload) -> Callable[..., None]:
+        """Begin a run; what is returned logs its events."""
+        if run_id in self.open:
+            raise ValueError(f"run {run_id} has begun already")
+        self.open[run_id] = 0
+        self._add(run_id, "run_started", {"at": self.now(), **payload})
+        return lambda event, **more: self._add(run_id, event, more)
+
+    def finish(self, run_id: str, **payload) -> None:
+        self._add(run_id, "run_finished", {"at": self.now(), **payload})
+        del self.open[run_id]
+
+    def _add(self, run_id: str, event: str, payload: dict) -> None:
+        if run_id not in self.open:
+            raise ValueError(f"run {run_id} isn't open")
+        self.open[run_id] += 1
+        self.rows.append((run_id, self.open[run_id], event, json.dumps(payload)))
+
+    def events(self, spark) -> DataFrame:
+        return spark.createDataFrame(self.rows, "run_id string, seq int, event string, payload string")
+
+
+def durations(events: DataFrame, run: str = "run_id") -> DataFrame:
+    """Seconds from the start to the end of each run; null while it is open."""
+    at = lambda what: F.max(F.when(F.col("event") == what, F.try_to_timestamp(F.get_json_object("payload", "$.at"))))
+    times = events.groupBy(run).agg(at("run_started").alias("_s"), at("run_finished").alias("_e"))
+    return times.select(run, scalar.seconds_between("_s", "_e").alias("seconds"))
+
+
+def watched(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with measures taken while it is computed, and where they can be read afterwards."""
+    seen = Observation(name)
+    return df.observe(seen, *(c.alias(k) for k, c in measures.items())), seen
+
+
 def summary(row) -> str:
     """Lines for people from one folded row."""
     return "\n".join(f"{k.replace('_', ' '):<28}{v}" for k, v in row.asDict().items() if v is not None)
 
 
-__all__ = ["FOLDS", "Column", "batch_totals", "drop_counts", "fold", "per_tier", "summary"]
+__all__ = ["FOLDS", "RunLog", "batch_totals", "drop_counts", "durations", "fold", "per_tier", "summary", "watched"]

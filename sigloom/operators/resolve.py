@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from .relational import BROADCAST_ROWS, containing
+from .relational import FEW_NEEDLES, containing
 
 CONFIDENCE = {1: 80, 2: 50, 3: 30}
 MIN_OVERLAP = 4
 
 
-def _overlapping(refs: DataFrame, names: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def _overlapping(refs: DataFrame, names: DataFrame, few: int = FEW_NEEDLES) -> DataFrame:
     """References (_r) with names (_n) where one holds the other, 4 characters or more."""
     n = names.where(F.length("_n") >= MIN_OVERLAP)
-    held = containing(refs, "_r", n, "_n", MIN_OVERLAP, rows)
-    holds = containing(n, "_n", refs, "_r", MIN_OVERLAP, rows)
+    held = containing(refs, "_r", n, "_n", MIN_OVERLAP, few)
+    holds = containing(n, "_n", refs, "_r", MIN_OVERLAP, few)
     return held.unionByName(holds).distinct()
 
 
@@ -61,7 +61,7 @@ def resolve_identities(references: DataFrame, identities: DataFrame, ref: str =
     rest = refs.join(equal.select(ref).distinct(), ref, "left_anti")
     over = _overlapping(rest, rows.select("id", "_n")).select(ref, "id", F.lit(2).alias("tier")).distinct()
     fields = rows.select("id", F.explode(F.array_distinct("_f")).alias("_field"))
-    # A role or sector may be held by a reference of any length, so the grams of one letter are used.
+    # A role or sector may hold a reference of any length.
     within = containing(fields, "_field", rest, "_r", 1).select(ref, "id", F.lit(3).alias("tier")).distinct()
     # A reference's third-tier hits include names that the second tier has; the best tier decides anyway.
     return _decide(equal.unionByName(over).unionByName(within), ref)

@@ -53,6 +53,11 @@ def outcomes(processed: DataFrame, kinds: list[str], kind: str = "kind") -> Data
     return F.broadcast(known).join(processed.groupBy(kind).agg(F.count(F.lit(1)).alias("n")), kind, "left").fillna(0, ["n"])
 
 
+def without_unchanged(processed: DataFrame, kind: str = "kind") -> DataFrame:
+    """Outcomes but those that were skipped as unchanged."""
+    return processed.where(F.col(kind) != "skipped_unchanged")
+
+
 # --- hash cache -------------------------------------------------------------------------------
 
 

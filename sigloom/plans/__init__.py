@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import crawl, discover, validate  # noqa: F401  (they register their queries)
+from . import crawl, discover, ingest, validate  # noqa: F401  (they register their queries)
 from .registry import ORACLES, QUERIES
 
 

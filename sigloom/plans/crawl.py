@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import vocab
 from ..functions import jsontext, scalar
 from ..operators import gate, graph, metrics, relational, state
-from ..session import load, load_ts
+from ..session import load, load_ts, shared_dir
 from ..sources import feeds
 from ..streaming import crawl as stream
 from .registry import query
@@ -46,15 +45,18 @@ def q29_boost(spark, sf_dir):
     return d.select("doc_id", F.round(gate.boosted(base, F.lit(False), F.col("text"), ["Licensed under", " THAND "]), 6).alias("score"))
 
 
-_PREV = "prev as (select doc_id, sha256(case when doc_id % 5 = 0 then text || 'old' else text end) as sha, case when doc_id % 7 = 0 then 'old' else 'h1' end as pir from documents where doc_id % 2 = 0)"
+# Every document has an entry in the old state and a fetched page; some of either have no counterpart.
+_PREV = """prev as (select case when doc_id % 2 = 0 then doc_id::varchar else 'old' || doc_id end as url,
+        sha256(case when doc_id % 5 = 0 then text || 'old' else text end) as sha, case when doc_id % 7 = 0 then 'old' else 'h1' end as pir from documents),
+    new as (select case when doc_id % 3 <> 1 then doc_id::varchar else 'new' || doc_id end as url, sha256(text) as sha from documents)"""
 
 
 def _previous(spark, sf_dir):
-    d = load(spark, sf_dir, "documents").where("doc_id % 2 = 0")
-    body = F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("old"))).otherwise(F.col("text"))
-    relevance = F.from_json(F.concat(F.lit('{"decision":"kept","score":0.5,"pir_set_hash":"'), F.when(F.col("doc_id") % 7 == 0, "old").otherwise("h1"), F.lit('"}')), "decision string, score double, matched_pir_ids array<string>, rationale string, pir_set_hash string")
+    d, i = load(spark, sf_dir, "documents"), F.col("doc_id")
+    body = F.when(i % 5 == 0, F.concat("text", F.lit("old"))).otherwise(F.col("text"))
+    relevance = F.from_json(F.concat(F.lit('{"decision":"kept","score":0.5,"pir_set_hash":"'), F.when(i % 7 == 0, "old").otherwise("h1"), F.lit('"}')), "decision string, score double, matched_pir_ids array<string>, rationale string, pir_set_hash string")
     return d.select(
-        F.col("doc_id").cast("string").alias("url"),
+        F.concat(F.when(i % 2 == 0, "").otherwise("old"), i).alias("url"),
         F.lit("2025-01-01T00:00:00.000Z").alias("first_seen"),
         F.lit("2025-06-01T00:00:00.000Z").alias("last_seen"),
         scalar.sha256(body).alias("content_sha256"),
@@ -65,22 +67,20 @@ def _previous(spark, sf_dir):
 
 
 def _fetched(spark, sf_dir):
-    return load(spark, sf_dir, "documents").where("doc_id % 3 <> 1").select(F.col("doc_id").cast("string").alias("url"), scalar.sha256("text").alias("content_sha256"))
+    i = F.col("doc_id")
+    return load(spark, sf_dir, "documents").select(F.concat(F.when(i % 3 != 1, "").otherwise("new"), i).alias("url"), scalar.sha256("text").alias("content_sha256"))
 
 
-@query(
-    f"""with {_PREV} select d.doc_id::varchar as url, coalesce(p.sha = sha256(d.text) and p.pir = 'h1', false) as unchanged
-    from documents d left join prev p using (doc_id) where d.doc_id % 3 <> 1"""
-)
+@query(f"with {_PREV} select n.url, coalesce(p.sha = n.sha and p.pir = 'h1', false) as unchanged from new n left join prev p using (url)")
 def q30_unchanged_skip(spark, sf_dir):
     return state.changed(_fetched(spark, sf_dir), _previous(spark, sf_dir), "h1", recheck=True).select("url", "unchanged")
 
 
 @query(
-    f"""with {_PREV}, new as (select doc_id, sha256(text) as sha from documents where doc_id % 3 <> 1)
-    select coalesce(p.doc_id, n.doc_id)::varchar as url, case when p.doc_id is not null then '2025-01-01T00:00:00.000Z' else '2026-02-03T04:05:06.000Z' end as first_seen,
-           case when n.doc_id is not null then '2026-02-03T04:05:06.000Z' else '2025-06-01T00:00:00.000Z' end as last_seen, coalesce(n.sha, p.sha) as content_sha256
-    from prev p full join new n on p.doc_id = n.doc_id"""
+    f"""with {_PREV}
+    select coalesce(p.url, n.url) as url, case when p.url is not null then '2025-01-01T00:00:00.000Z' else '2026-02-03T04:05:06.000Z' end as first_seen,
+           case when n.url is not null then '2026-02-03T04:05:06.000Z' else '2025-06-01T00:00:00.000Z' end as last_seen, coalesce(n.sha, p.sha) as content_sha256
+    from prev p full join new n on p.url = n.url"""
 )
 def q31_state_upsert(spark, sf_dir):
     old = _previous(spark, sf_dir)
@@ -139,7 +139,7 @@ def q35_batch_totals(spark, sf_dir):
 
 @query(
     """
-    with c as (select url, min(sha256(html)) as sha, min(page_id) as p from pages where page_id % 3 = 0 group by url),
+    with c as (select case when page_id % 3 = 0 then url else 'gone/' || url end as url, min(sha256(html)) as sha, min(page_id) as p from pages group by 1),
     cache as (select url, sha, case p % 4 when 0 then '2026-01-20T00:00:00.000Z' when 1 then '2025-01-01T00:00:00.000Z' when 2 then 'bad' else '2026-01-31T00:00:00.000Z' end as fetched from c)
     select page_id, case when try_cast(fetched as timestamp) >= timestamp '2026-02-01' - to_days(30) then sha when page_id % 2 = 0 or exists (select 1 from pages q where q.url = p.url and q.page_id % 2 = 0) then 'fetched' end as sha256
     from pages p left join cache using (url)
@@ -149,13 +149,13 @@ def q36_ref_hash_cache(spark, sf_dir):
     pages = load(spark, sf_dir, "pages")
     p = F.col("p") % 4
     at = F.when(p == 0, "2026-01-20T00:00:00.000Z").when(p == 1, "2025-01-01T00:00:00.000Z").when(p == 2, "bad").otherwise("2026-01-31T00:00:00.000Z")
+    at_url = lambda hit, other: F.when(hit, F.col("url")).otherwise(F.concat(F.lit(other), "url")).alias("url")
     cache = (
-        pages.where("page_id % 3 = 0")
-        .groupBy("url")
+        pages.groupBy(at_url(F.col("page_id") % 3 == 0, "gone/"))
         .agg(F.min(scalar.sha256("html")).alias("sha256"), F.min("page_id").alias("p"))
         .select("url", "sha256", at.alias("fetched_at"), F.lit("ok").alias("status"))
     )
-    fetched = pages.where("page_id % 2 = 0").select("url", F.lit("fetched").alias("sha256")).distinct()
+    fetched = pages.select(at_url(F.col("page_id") % 2 == 0, "other/"), F.lit("fetched").alias("sha256")).distinct()
     refs, _ = state.with_hashes(pages.select("page_id", "url"), cache, fetched, F.lit("2026-02-01").cast("timestamp"), 30)
     return refs.select("page_id", "sha256")
 
@@ -197,8 +197,7 @@ def q38_graph_edges(spark, sf_dir):
 )
 def q39_stream_state(spark, sf_dir):
     """The whole event table as a stream, folded into keyed state; the last row per key is the batch result."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="sigloom-")
-    out = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = load(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events*").parquet(sf_dir)
     folded = stream.latest_by_key(events, "user_id", "ts", "event_type", "60 days")

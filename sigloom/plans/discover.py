@@ -246,8 +246,8 @@ def q13_tier_resolve(spark, sf_dir):
 
 @query(
     """
-    with a as (select s_suppkey as id, s_name as name, lower(n_name) as role from supplier join nation on n_nationkey = s_nationkey where s_suppkey % 10 < 3),
-    refs as (select distinct lower(r) as r, r as ref from (select s_name as r from supplier union all select n_name from nation union all select 'about ' || s_name from supplier where s_suppkey % 10 < 2)),
+    with a as (select s_suppkey as id, s_name as name, lower(n_name) as role from supplier join nation on n_nationkey = s_nationkey),
+    refs as (select distinct lower(r) as r, r as ref from (select s_name as r from supplier union all select n_name from nation union all select 'about ' || s_name from supplier)),
     hits as (
         select ref, id, 1 as tier from refs, a where r = lower(name)
         union all select ref, id, 2 from refs, a where r <> lower(name) and ((contains(lower(name), r) and length(r) >= 4) or (contains(r, lower(name)) and length(name) >= 4))
@@ -257,9 +257,9 @@ def q13_tier_resolve(spark, sf_dir):
 )
 def q14_tier_resolve_list(spark, sf_dir):
     s, n = load(spark, sf_dir, "supplier"), load(spark, sf_dir, "nation")
-    own = s.where("s_suppkey % 10 < 3").join(n, F.col("n_nationkey") == F.col("s_nationkey"))
+    own = s.join(n, F.col("n_nationkey") == F.col("s_nationkey"))
     ids = own.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.array("n_name").alias("roles"), F.array().cast("array<string>").alias("sectors"))
-    refs = s.select(F.col("s_name").alias("reference")).union(n.select("n_name")).union(s.where("s_suppkey % 10 < 2").select(F.concat(F.lit("about "), "s_name")))
+    refs = s.select(F.col("s_name").alias("reference")).union(n.select("n_name")).union(s.select(F.concat(F.lit("about "), "s_name")))
     return resolve.resolve_identities(refs, ids)
 
 

@@ -130,11 +130,11 @@ def q23_slug_url(spark, sf_dir):
 
 @query(
     """
-    select doc_id, case doc_id % 4
+    select * from (select doc_id, case doc_id % 4
         when 0 then 'CVE-2024-' || (doc_id + 1000)
         when 1 then regexp_extract('https://example.org/?name=CVE-2023-' || (doc_id + 1000) || '&x=1', 'CVE-[0-9]{4}-[0-9]{4,}', 0)
-        when 2 then 'CVE-2022-' || (doc_id + 1000) end as cve
-    from documents where doc_id % 4 < 3
+        when 2 then 'CVE-2022-' || (doc_id + 1000) else nullif(regexp_extract(text, 'CVE-[0-9]{4}-[0-9]{4,}', 0), '') end as cve
+    from documents) where cve is not null
     """
 )
 def q24_cve_extract(spark, sf_dir):
@@ -145,7 +145,7 @@ def q24_cve_extract(spark, sf_dir):
         F.when(k == 0, F.concat(F.lit(" CVE-2024-"), n)).otherwise("none").alias("external_id"),
         F.when(k == 1, F.concat(F.lit("https://example.org/?name=CVE-2023-"), n, F.lit("&x=1"))).alias("url"),
     )
-    name = F.when(k == 2, F.concat(F.lit("CVE-2022-"), n)).otherwise(F.substring("text", 1, 20))
+    name = F.when(k == 2, F.concat(F.lit("CVE-2022-"), n)).otherwise(F.col("text"))
     return d.select("doc_id", text.cve_id(name, F.array(ref)).alias("cve")).where("cve is not null")
 
 
@@ -154,7 +154,7 @@ _PHRASES = ("Almost certain", "very likely", "HIGHLY unlikely", "improbable", "w
 
 @query(
     f"""
-    with t as (select doc_id, lower(substr(text, 1, 200) || ' ' || {list(_PHRASES)!r}[doc_id % 9 + 1]) as t from documents)
+    with t as (select doc_id, lower(text || ' ' || {list(_PHRASES)!r}[doc_id % 9 + 1]) as t from documents)
     select doc_id, (case
         when regexp_matches(t, 'almost certain|definitive|confirmed|with certainty') then 95
         when regexp_matches(t, 'very likely|highly probable|high confidence|very probable') then 85
@@ -168,7 +168,7 @@ _PHRASES = ("Almost certain", "very likely", "HIGHLY unlikely", "improbable", "w
 def q25_hedge_confidence(spark, sf_dir):
     d = load(spark, sf_dir, "documents")
     phrase = F.get(F.array(*map(F.lit, _PHRASES)), (F.col("doc_id") % 9).cast("int"))
-    return d.select("doc_id", text.hedge_confidence(F.concat_ws(" ", F.substring("text", 1, 200), phrase)).alias("confidence"))
+    return d.select("doc_id", text.hedge_confidence(F.concat_ws(" ", "text", phrase)).alias("confidence"))
 
 
 @query(
@@ -188,7 +188,7 @@ def q26_chunks(spark, sf_dir):
 
 @query(
     r"""
-    with t as (select doc_id, substr(text, 1, 700) || chr(10) || repeat('#', (doc_id % 4)::integer) || ' Head' || chr(10) || 'x' as t from documents)
+    with t as (select doc_id, text || chr(10) || repeat('#', (doc_id % 4)::integer) || ' Head' || chr(10) || 'x' as t from documents)
     select doc_id, (case when instr(substr(t, 501), regexp_extract(substr(t, 501), '\n#{1,2} .+', 0)) > 0 and regexp_extract(substr(t, 501), '\n#{1,2} .+', 0) <> ''
         then 500 + instr(substr(t, 501), regexp_extract(substr(t, 501), '\n#{1,2} .+', 0)) else 0 end)::integer as start,
         length(case when length(t) > 300 then substr(t, 1, 300) || chr(10) || chr(10) || '[...truncated]' else t end)::integer as clipped
@@ -197,7 +197,7 @@ def q26_chunks(spark, sf_dir):
 )
 def q27_article_start(spark, sf_dir):
     d = load(spark, sf_dir, "documents")
-    t = F.concat(F.substring("text", 1, 700), F.lit("\n"), F.repeat(F.lit("#"), (F.col("doc_id") % 4).cast("int")), F.lit(" Head\nx"))
+    t = F.concat("text", F.lit("\n"), F.repeat(F.lit("#"), (F.col("doc_id") % 4).cast("int")), F.lit(" Head\nx"))
     return d.select("doc_id", text.article_start(t).cast("int").alias("start"), F.length(text.clipped(t, 300)).alias("clipped"))
 
 

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,3 +48,21 @@ def load_ts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = load(spark, sf_dir, name)
     ntz = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in ntz}) if ntz else df
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``, or, within one machine (tests), one of its own."""
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if where is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        where = tempfile.mkdtemp(prefix="sigloom-")
+        spark.sparkContext.setCheckpointDir(where)
+    return where.rstrip("/")
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: what is used more than once isn't computed again."""
+    path = f"{shared_dir(df.sparkSession)}/sigloom/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import scalar, text
 from ..operators.relational import top_of
 
-_RSS = "struct<channel:struct<item:array<struct<title:string,link:string,guid:string,description:string,pubDate:string>>>>"
+_ITEM = "array<struct<title:string,link:string,guid:string,description:string,pubDate:string,`dc:date`:string>>"
+#: Items stand within the channel, or beside it in feeds of the RDF kind.
+_RSS = f"struct<channel:struct<item:{_ITEM}>,item:{_ITEM}>"
 _ATOM = (
     "struct<entry:array<struct<title:string,link:array<struct<_rel:string,_href:string>>,summary:string,content:string,published:string,updated:string>>>"
 )
@@ -33,9 +35,9 @@ def entries(feeds: DataFrame, content: str = "content", url: str = "feed_url") -
     rss = F.from_xml(F.when(F.col("_kind") == "rss", F.col("_x")), F.lit(_RSS))
     atom = F.from_xml(F.when(F.col("_kind") == "atom", F.col("_x")), F.lit(_ATOM))
     from_rss = F.transform(
-        rss["channel"]["item"],
+        F.coalesce(F.when(F.size(rss["channel"]["item"]) > 0, rss["channel"]["item"]), rss["item"]),
         lambda i: F.struct(
-            F.nullif(text.strip(i["link"]), F.lit("")).alias("url"), text.clean(i["title"]).alias("title"), text.clean(i["description"]).alias("summary"), timestamps(i["pubDate"]).alias("published_at")
+            F.nullif(text.strip(i["link"]), F.lit("")).alias("url"), text.clean(i["title"]).alias("title"), text.clean(i["description"]).alias("summary"), timestamps(F.coalesce(i["pubDate"], i["dc:date"])).alias("published_at")
         ),
     )
     from_atom = F.transform(
@@ -51,6 +53,16 @@ def entries(feeds: DataFrame, content: str = "content", url: str = "feed_url") -
     return found.where("url is not null")
 
 
+def failures(feeds: DataFrame, content: str = "content", url: str = "feed_url") -> DataFrame:
+    """(feed_url, error): feeds that are malformed and gave no entry; one that is malformed but gave some is none of them."""
+    raw = feeds.select(F.col(url).alias("feed_url"), F.col(content).cast("string").alias("_x"))
+    closed = F.regexp_extract(text.strip("_x"), r"</\s*([A-Za-z:]+)\s*>$", 1)
+    opened = F.regexp_extract("_x", r"<\s*(rss|feed|rdf:RDF|RDF)\b", 1)
+    malformed = F.coalesce((opened == "") | (F.lower(closed) != F.lower(opened)), F.lit(True))
+    some = entries(feeds, content, url).select("feed_url").distinct()
+    return raw.where(malformed).join(some, "feed_url", "left_anti").select("feed_url", F.lit("malformed feed without entries").alias("error"))
+
+
 def recent(found: DataFrame, now: Column, since_days: int = 90, most: int = 50) -> DataFrame:
     """Entries not older than ``since_days`` (0: any age; undated ones stay), the first ``most`` of each feed, one at least."""
     kept = found

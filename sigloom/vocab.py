@@ -7,6 +7,11 @@ import uuid
 #: Prefix of the engine's own relationship types and properties. Set it to what consumers expect.
 PREFIX = "x-sigloom"
 HAS_ACCESS, VALID_ON = f"{PREFIX}-has-access", f"{PREFIX}-valids-on"
+PROPERTY = PREFIX.replace("-", "_") + "_"
+EXTENSION_ID = "extension-definition--5b9f3c1e-2d74-5e0a-9b36-0f4d8c7a6e21"
+EXTENSION_TEXT = "Properties of bundles and node types that this engine adds; consumers without the extension can ignore them."
+EXTENSION_SCHEMA, EXTENSION_VERSION = "https://example.org/schema/bundle-metadata.json", "1.0.0"
+EXTENSION_PROPERTIES = tuple(PROPERTY + p for p in "source_url collected_at matched_pir_ids relevance_score relevance_rationale".split())
 ASSET_NODE, IDENTITY_NODE = "x-asset-internal", "x-identity-internal"
 
 ENTITY_TYPES = tuple(
