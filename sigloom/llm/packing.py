@@ -43,10 +43,10 @@ from tokenizers import Tokenizer
 from .common import pieces, strings, written
 
 SIZE = 2048
-#: The dives: finished packings that are looked for, fillings tried per sequence, nodes of one enumeration.
-DIVES, WIDTH, FILL_NODES = 4, 3, 400
+#: The dives: finished packings that are looked for, fillings tried per sequence, nodes of one enumeration, nodes at least.
+DIVES, WIDTH, FILL_NODES, NODES = 4, 3, 400, 1200
 #: The exact search: steps of all its enumerations and of what it copies, together.
-EXACT_STEPS = 1_500_000
+EXACT_STEPS = 300_000
 
 Run = tuple[int, int, int, int, int, int]
 
@@ -176,7 +176,7 @@ def bin_completion(counts: dict[int, int], size: int = SIZE) -> tuple[list[Patte
 
     First dives, whose work depends on the number of different lengths: each filling is applied as
     often as the counts allow, WIDTH fillings of a space are tried, and the search ends after DIVES
-    finished packings, or as many nodes as these take. Then, if the lower bound isn't reached, the
+    finished packings, or twice the nodes that a packing takes (NODES at least). Then, if the lower bound isn't reached, the
     exact search of ``completed``. The result is optimal if its sequences equal the number
     returned; else it is the best incumbent.
     """
@@ -186,19 +186,16 @@ def bin_completion(counts: dict[int, int], size: int = SIZE) -> tuple[list[Patte
     fewest = sum(times for _, times in best)
     total = sum(n * c for n, c in counts.items())
     nodes = dives = 0
-    most = math.inf
+    most = max(NODES, 2 * len(best))
     stack = [(dict(counts), [], 0, 0)]
     while stack and fewest > bound and dives < DIVES and nodes < most:
         left, made, used, waste = stack.pop()
         nodes += 1
         if not left:
             dives += 1
-            most = min(most, nodes * DIVES)
             if used < fewest:
                 best, fewest = made, used
             continue
-        if nodes > DIVES * (len(counts) + 64) * 4:  # no dive has come to its end by far
-            break
         lengths = sorted(left)
         top = lengths[-1]
         left1 = {**left, top: left[top] - 1}
