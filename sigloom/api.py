@@ -12,6 +12,7 @@ from . import sinks, vocab
 from .functions import jsontext, scalar, text
 from .operators import discovery, extraction, fields, gate, graph, integrity, metrics, resolve, state
 from .operators.relational import first_of
+from .session import kept
 from .sources import documents
 
 #: A model takes (key columns, prompt) rows and gives the same rows with ``response``: a service, or a table that is replayed.
@@ -157,7 +158,7 @@ def crawl_batch(
     threshold: float = 0.5,
     recheck: bool = False,
     assets: DataFrame | None = None,
-    keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+    keep: Callable[[DataFrame, str], DataFrame] = kept,
     pirs: DataFrame | None = None,
     names: list[str] = (),
     identities: DataFrame | None = None,
@@ -176,8 +177,8 @@ def crawl_batch(
     ``context``. Without ``gate_model`` nothing is gated. fetched: url, content, content_type, error
     (see ``documents.scan`` and ``replay``). ``hash_cache`` and ``hashes`` (url, sha256 of what was
     fetched anew) add hashes to external references. A dry run touches nothing. ``keep`` writes an
-    intermediate table and reads it back: pass one on a cluster, as the results of the models are
-    used more than once.
+    intermediate table and reads it back (to the shared folder, unless another is passed), as the
+    results of the models are used more than once.
     """
     none = F.array().cast("array<string>")
     policy = {"label": F.lit(None).cast("string"), "task": F.lit("medium"), "max_chars": F.lit(None).cast("int"), "pir_ids": none}
@@ -205,8 +206,8 @@ def crawl_batch(
         judged = texts.withColumns({"response": F.lit(None).cast("string"), "verdict": F.lit(None).cast(gate.READ)})
     judged = keep(judged, "judged")
     open_ = F.lit(gate_model is None)
-    kept = judged.where(open_ | gate.keeps(F.col("verdict.score"), F.col("verdict.failed"), threshold))
-    x = extract(kept.select(F.col("url").alias("doc_id"), "text", "task"), extract_model)
+    passed = judged.where(open_ | gate.keeps(F.col("verdict.score"), F.col("verdict.failed"), threshold))
+    x = extract(passed.select(F.col("url").alias("doc_id"), "text", "task"), extract_model)
     if hash_cache is not None:
         refs, hash_cache = graph.hashed_references(x.entities, hash_cache, hashes, now, hash_ttl_days)
         x = replace(x, entities=keep(refs, "references"))

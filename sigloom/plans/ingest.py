@@ -513,45 +513,40 @@ def _graph(spark, sf_dir):
 
 
 @query(
-    f"""with {_CONV}, e as (select d, n, ['malware', '', 'tool', 'identity'][n % 4 + 1] as t from c where n % 4 <> 1 and n % 5 <> 4)
-    select d as doc_id, 'targets' as relationship_type, t as source_type, 'identity' as target_type, null::integer as confidence from e where n % 3 <> 0 and t <> 'identity'
-    union all select d, '{vocab.HAS_ACCESS}', 'identity', '{vocab.ASSET_NODE}', 80 from c
-    union all select d, 'related-to', 'user-account', 'identity', null from c
-    union all select d, '{vocab.VALID_ON}', 'user-account', '{vocab.ASSET_NODE}', 80 from c, (values (1), (2))
-    union all select d, 'impersonates', t, '{vocab.IDENTITY_NODE}', 40 from e where n % 2 = 0"""
-)
-def q67_assembled_edges(spark, sf_dir):
-    _, (_, edges, _) = _graph(spark, sf_dir)
-    kind = lambda ref: F.split_part(ref, F.lit("--"), F.lit(1))
-    return edges.select("doc_id", "relationship_type", kind("source_ref").alias("source_type"), kind("target_ref").alias("target_type"), F.col("confidence").cast("int").alias("confidence"))
-
-
-@query(
-    f"""with {_CONV}, e as (select d, n, ['malware', '', 'tool', 'identity'][n % 4 + 1] as t from c where n % 4 <> 1 and n % 5 <> 4)
-    select t as type, count(*) as n from (
+    f"""with {_CONV}, e as (select d, n, ['malware', '', 'tool', 'identity'][n % 4 + 1] as t from c where n % 4 <> 1 and n % 5 <> 4),
+    edges(doc_id, a, b, c, n) as (
+        select d, 'targets', t, 'identity', null::bigint from e where n % 3 <> 0 and t <> 'identity'
+        union all select d, '{vocab.HAS_ACCESS}', 'identity', '{vocab.ASSET_NODE}', 80 from c
+        union all select d, 'related-to', 'user-account', 'identity', null from c
+        union all select d, '{vocab.VALID_ON}', 'user-account', '{vocab.ASSET_NODE}', 80 from c, (values (1), (2))
+        union all select d, 'impersonates', t, '{vocab.IDENTITY_NODE}', 40 from e where n % 2 = 0),
+    nodes(t) as (
         select t from e union all select 'identity' from c union all select 'user-account' from c union all select 'observed-data' from c
-        union all select '{vocab.ASSET_NODE}' from c, (select unnest([1, 2]) as a) where true
-        union all select '{vocab.ASSET_NODE}' from c where n % 5 not in (1, 2)
-        union all select '{vocab.IDENTITY_NODE}' from e where n % 2 = 0) group by 1"""
-)
-def q68_assembled_nodes(spark, sf_dir):
-    _, (nodes, _, _) = _graph(spark, sf_dir)
-    return nodes.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query(
-    f"""with {_CONV}, e as (select d, n, ['malware', '', 'tool', 'identity'][n % 4 + 1] as t from c where n % 4 <> 1 and n % 5 <> 4)
-    select 'raw' as what, (select count(*) from e) + (select count(*) from c) as n union all select 'merged', (select count(*) from e) + (select count(*) from c)
-    union all select 'type_mismatch', count(*) from e where n % 3 <> 0 and t = 'identity' having count(*) > 0
-    union all select 'kept', count(*) from e where n % 3 <> 0 and t <> 'identity'"""
-)
-def q69_counters(spark, sf_dir):
-    x, (_, edges, lost) = _graph(spark, sf_dir)
+        union all select '{vocab.ASSET_NODE}' from c, (values (1), (2)) union all select '{vocab.ASSET_NODE}' from c where n % 5 not in (1, 2)
+        union all select '{vocab.IDENTITY_NODE}' from e where n % 2 = 0)
+    select 'edge' as part, * from edges
+    union all select 'node', null, t, null, null, count(*) from nodes group by t
+    union all select 'counter', null, 'raw', null, null, (select count(*) from e) + (select count(*) from c)
+    union all select 'counter', null, 'merged', null, null, (select count(*) from e) + (select count(*) from c)
+    union all select 'counter', null, 'type_mismatch', null, null, count(*) from e where n % 3 <> 0 and t = 'identity' having count(*) > 0
+    union all select 'counter', null, 'kept', null, null, count(*) from e where n % 3 <> 0 and t <> 'identity'"""
+)
+def q67_assembly(spark, sf_dir):
+    """Edges by the types of their ends, nodes by type, and what was merged, kept and dropped."""
+    x, (nodes, edges, lost) = _graph(spark, sf_dir)
+    edges = kept(edges, "edges")
+    kind = lambda ref: F.split_part(ref, F.lit("--"), F.lit(1))
     sums = extraction.merge_counters(x.raw_entities, x.entities).agg(F.sum("raw").alias("raw"), F.sum("merged").alias("merged"))
     flat = sums.select(F.expr("stack(2, 'raw', raw, 'merged', merged) as (what, n)"))
-    kept = edges.where("relationship_type = 'targets'").withColumn("all", F.lit(1))
-    drops = metrics.drop_counts(kept, lost.withColumn("all", F.lit(1)), ["all"]).select(F.col("reason").alias("what"), "n")
-    return flat.unionByName(drops)
+    targets = edges.where("relationship_type = 'targets'").withColumn("all", F.lit(1))
+    drops = metrics.drop_counts(targets, lost.withColumn("all", F.lit(1)), ["all"]).select(F.col("reason").alias("what"), "n")
+    row = lambda part, doc, a, b, c, n: (F.lit(part).alias("part"), doc.alias("doc_id"), a.alias("a"), b.alias("b"), c.alias("c"), n.cast("bigint").alias("n"))
+    counted = nodes.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+    return (
+        edges.select(*row("edge", F.col("doc_id"), F.col("relationship_type"), kind("source_ref"), kind("target_ref"), F.col("confidence")))
+        .unionByName(counted.select(*row("node", _none(), F.col("type"), _none(), _none(), F.col("n"))))
+        .unionByName(flat.unionByName(drops).select(*row("counter", _none(), F.col("what"), _none(), _none(), F.col("n"))))
+    )
 
 
 @query(
@@ -667,44 +662,30 @@ def _crawl(spark, sf_dir, **more):
 
 
 @query(
-    f"""with {_CRAWL}
-    select url, 'l' as label, kind, case when kind in ('skipped_below_threshold', 'no_objects', 'extracted') then (k % 10) / 10.0::double end as relevance_score,
-           case when k % 13 = 0 then 'status 500' when kind = 'fetch_failed' then 'not fetched' when kind = 'extraction_failed' then 'empty article text' end as error
-    from o"""
-)
-def q74_crawl_outcomes(spark, sf_dir):
-    return _crawl(spark, sf_dir).outcomes.select("url", "label", "kind", "relevance_score", "error")
-
-
-@query(
-    f"""with {_CRAWL}
-    select url, case when k % 7 = 0 then '2025-01-01T00:00:00.000Z' else '2026-02-03T04:05:06.000Z' end as first_seen,
-           case kind when 'extracted' then 'kept' when 'no_objects' then 'extraction_failed' else kind end as decision, case when k % 2 = 0 then 'one' else 'both' end as rationale, 1 as n_iocs,
-           case when kind = 'extracted' then 'stix/bundle_e.org-d' || k || '.json' end as bundle_path
-    from o where kind in ('extracted', 'no_objects', 'skipped_below_threshold')
-    union all select url, '2025-01-01T00:00:00.000Z', null, null, 0, null from o where k % 7 = 0 and kind not in ('extracted', 'no_objects', 'skipped_below_threshold')"""
-)
-def q75_crawl_state(spark, sf_dir):
-    s = _crawl(spark, sf_dir).state
-    return s.select("url", "first_seen", F.col("relevance.decision").alias("decision"), F.col("relevance.rationale").alias("rationale"), F.size("iocs").alias("n_iocs"), "bundle_path")
-
-
-@query(
-    f"""with {_CRAWL}, x as (select *, case when k % 4 = 0 then least(length(text), 5) else length(text) end as n from o where kind = 'extracted')
-    select url, url as source_url, '2026-02-03T04:05:06.000Z' as collected_at, (k % 10) / 10.0::double as score, 'extension-definition,malware' as types, 2 as n_objects, '{vocab.EXTENSION_ID}' as declared,
-           case when k % 4 = 0 then 'simple' || n end as name
+    f"""with {_CRAWL}, x as (select *, kind in ('extracted', 'no_objects', 'skipped_below_threshold') as touched, kind = 'extracted' as made, least(length(text), 5) as n from o)
+    select url, 'l' as label, kind, case when touched then (k % 10) / 10.0::double end as relevance_score,
+           case when k % 13 = 0 then 'status 500' when kind = 'fetch_failed' then 'not fetched' when kind = 'extraction_failed' then 'empty article text' end as error,
+           case when k % 7 = 0 then '2025-01-01T00:00:00.000Z' when touched then '2026-02-03T04:05:06.000Z' end as first_seen,
+           case when touched then case kind when 'extracted' then 'kept' when 'no_objects' then 'extraction_failed' else kind end end as decision,
+           case when touched then case when k % 2 = 0 then 'one' else 'both' end end as rationale, (case when touched then 1 when k % 7 = 0 then 0 end)::integer as n_iocs,
+           case when made then 'stix/bundle_e.org-d' || k || '.json' end as bundle_path, case when made then url end as source_url, case when made then '2026-02-03T04:05:06.000Z' end as collected_at,
+           case when made then (k % 10) / 10.0::double end as score, case when made then 'extension-definition,malware' end as types, case when made then '{vocab.EXTENSION_ID}' end as declared,
+           case when made and k % 4 = 0 then 'simple' || n end as name
     from x"""
 )
-def q76_crawl_bundles(spark, sf_dir):
-    b = _crawl(spark, sf_dir).bundles
+def q74_crawl(spark, sf_dir):
+    """Outcome, next state and bundle of every source."""
+    done = _crawl(spark, sf_dir)
+    s = done.state.select("url", "first_seen", F.col("relevance.decision").alias("decision"), F.col("relevance.rationale").alias("rationale"), F.size("iocs").alias("n_iocs"), "bundle_path")
     doc = F.from_json("bundle", "struct<objects:array<struct<type:string,name:string>>,extensions:map<string,struct<extension_type:string>>>")
     own = lambda name: F.get_json_object("bundle", f"$.{vocab.PROPERTY}{name}")
     clipped = F.regexp_extract("url", "([0-9]+)$", 1).cast("int") % 4 == 0
-    return b.select(
+    b = done.bundles.select(
         "url", own("source_url").alias("source_url"), own("collected_at").alias("collected_at"), own("relevance_score").cast("double").alias("score"),
-        F.array_join(F.array_distinct(F.transform(doc["objects"], lambda o: o["type"])), ",").alias("types"), F.least(F.size(doc["objects"]), F.lit(2)).alias("n_objects"),
+        F.array_join(F.array_distinct(F.transform(doc["objects"], lambda o: o["type"])), ",").alias("types"),
         F.array_join(F.map_keys(doc["extensions"]), ",").alias("declared"), F.when(clipped, F.element_at(doc["objects"], -1)["name"]).alias("name"),
     )
+    return done.outcomes.select("url", "label", "kind", "relevance_score", "error").join(s, "url", "left").join(b, "url", "left")
 
 
 @query("select 'https://e.org/d' || doc_id as url, 'extracted' as kind from documents")

@@ -76,7 +76,6 @@ def replay(urls: DataFrame, responses: DataFrame) -> DataFrame:
 class _Text(HTMLParser):
     _SKIP = frozenset("script style nav header footer aside form noscript template svg".split())
     _BREAK = frozenset("p div section article ul ol li table tr blockquote pre br h1 h2 h3 h4 h5 h6".split())
-    _MARKS = {"strong": "**", "b": "**", "em": "*", "i": "*", "code": "`"}
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -100,8 +99,6 @@ class _Text(HTMLParser):
             got = dict(attrs)
             if got.get("src"):
                 self.out.append(f"![{got.get('alt') or ''}]({got['src']})")
-        elif tag in self._MARKS:
-            self.out.append(self._MARKS[tag])
         elif tag == "table":
             self.rows.append(0)
             self.cells.append(0)
@@ -124,8 +121,6 @@ class _Text(HTMLParser):
             href = self.links.pop()
             if href:
                 self.out.append(f"]({href})")
-        elif tag in self._MARKS:
-            self.out.append(self._MARKS[tag])
         elif tag in ("td", "th") and self.rows:
             self.out.append(" ")
         elif tag == "tr" and self.rows:
@@ -146,7 +141,7 @@ class _Text(HTMLParser):
 
 
 def markdown(html: str) -> str:
-    """A plain rendering of a page: headings, list items, links, images, emphasis and tables."""
+    """A plain rendering of a page: headings, list items, links, images and tables."""
     parser = _Text()
     parser.feed(html)
     parser.close()

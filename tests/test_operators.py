@@ -456,7 +456,7 @@ def test_catalog(spark):
     assert documents.load_sources(spark, "sources:\n- {url: 'https://x'}\n").first()["task"] == "medium"
 
 
-def test_crawl_batch(spark):
+def test_crawl_batch(spark, tmp_path):
     page = lambda b: f"<html><body><p>{b}</p></body></html>".encode()
     fetched = spark.createDataFrame(
         [("https://x.org/a", 200, page("first"), "text/html", None), ("https://x.org/low", 200, page("dull"), "text/html", None), ("https://x.org/down", None, None, None, "down")], documents.FETCHED
@@ -471,7 +471,8 @@ def test_crawl_batch(spark):
     assert kinds == {"https://x.org/a": "extracted", "https://x.org/low": "skipped_below_threshold", "https://x.org/down": "fetch_failed", "https://x.org/never": "fetch_failed"}
     rows = {r["url"]: r for r in done.state.collect()}
     assert set(rows) == {"https://x.org/a", "https://x.org/low"} and rows["https://x.org/a"]["iocs"][0]["value"] == "1.2.3.4"
-    kept = spark.createDataFrame(done.state.collect(), done.state.schema)
+    assert sinks.versioned(done.state, str(tmp_path / "s"), "1")
+    kept = sinks.current(spark, str(tmp_path / "s"))
     again = {r["url"]: r["kind"] for r in run(kept).outcomes.collect()}
     assert again["https://x.org/a"] == "skipped_unchanged" and again["https://x.org/low"] == "skipped_unchanged"
     assert state.outcomes(done.outcomes, list(vocab.OUTCOMES)).where("n > 0").count() == 3
@@ -496,3 +497,79 @@ def test_schemas(spark):
 
 def test_wire_time(spark):
     assert one(spark, scalar.wire_time(F.lit(datetime(2026, 1, 2, 3, 4, 5)).cast("timestamp"))) == "2026-01-02T03:04:05.000Z"
+
+
+def test_state_survives_a_crash_before_the_marker(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert sinks.current(spark, path) is None
+    sinks.versioned(spark.range(2), path, "1")
+    spark.range(9).write.parquet(f"{path}/v=2")  # written, but never marked as whole
+    assert sinks.current(spark, path).count() == 2
+    sinks.versioned(spark.range(3), path, "2")
+    assert sinks.current(spark, path).count() == 3 and sinks.current(spark, path, before="2").count() == 2
+
+
+def test_pattern_grammar():
+    from sigloom.functions.pattern import parses
+
+    good = [
+        "[file:hashes.'SHA-256' = 'abc']",
+        "[ipv4-addr:value = '1.2.3.4'] AND [domain-name:value LIKE 'a%']",
+        "([a:b = 1] OR [c:d.e[*].f IN ('x','y', 3)]) FOLLOWEDBY [x:y NOT MATCHES '^a'] WITHIN 300 SECONDS",
+        "[a:b = 'it\\'s'] START t'2020-01-01T00:00:00Z' STOP t'2021-01-01T00:00:00Z'",
+        "[EXISTS a:b AND (c:d > 4.5 OR e:f = true)] REPEATS 3 TIMES",
+    ]
+    bad = [None, "", "[", "[]", "[a:b]", "a:b = 1", "[a:b = 1", "[a:b = 1]]", "[a = 'x']", "[a:b = 1] AND", "[a:b IN ()]", "[a:b = 'x'] WITHIN 3 TIMES", "(" * 5000]
+    assert all(map(parses, good)) and not any(map(parses, bad))
+
+
+def test_markdown_links_and_tables():
+    page = '<p>a <a href="u">l</a></p><table><tr><th>A</th><th>B</th></tr><tr><td>1</td><td>2</td></tr></table><img src="i" alt="t">'
+    assert documents.markdown(page) == "a [l](u)\n\n| A | B |\n| --- | --- |\n| 1 | 2 |\n\n![t](i)"
+
+
+def test_pdf_text():
+    import zlib
+
+    shown = zlib.compress(rb"BT /F1 12 Tf (Hello ) Tj (W\(orld\)) Tj T* [(a) -300 (b)] TJ ET")
+    assert documents.pdf_text(b"%PDF-1.4 1 0 obj <</Filter /FlateDecode>> stream\n" + shown + b"\nendstream endobj") == "Hello W(orld) a b"
+    assert documents.pdf_text(b"no pdf") == ""
+
+
+def test_run_log(spark):
+    ticks = iter(["2026-01-01T00:00:00Z", "2026-01-01T00:00:02Z"])
+    log = metrics.RunLog(lambda: next(ticks))
+    event = log.start("r")
+    event("llm_call_done", chars=5)
+    with pytest.raises(ValueError):
+        log.start("r")
+    log.finish("r")
+    with pytest.raises(ValueError):
+        event("late")
+    events = log.events(spark)
+    assert metrics.durations(events).first()["seconds"] == 2.0 and metrics.fold(events).first()["llm_output_chars"] == 5.0
+
+
+def test_settings_and_schemas(tmp_path):
+    read = documents.Settings.from_env
+    assert read({"ACTIVITY_WINDOW_DAYS": "7"}).feed_since_days == 7 and read({"ACTIVITY_WINDOW_DAYS": "7", "SIGLOOM_FEED_SINCE_DAYS": "8"}).feed_since_days == 8
+    assert read({"SIGLOOM_HASH_ENABLED": "off"}).hash_enabled is False and "secret" not in repr(read({"SIGLOOM_ISSUE_TOKEN": "secret"}))
+    assert read({"SIGLOOM_STORAGE": "gs", "SIGLOOM_STORAGE_BUCKET": "b", "SIGLOOM_STORAGE_PREFIX": "p/"}).root() == "gs://b/p"
+    with pytest.raises(ValueError):
+        read({"SIGLOOM_STORAGE": "gs"}).root()
+    names = sinks.write_schemas(str(tmp_path))
+    assert "assets.schema.json" in names
+    port = sinks.json_schemas()["assets"]["properties"]["asset_connections"]["items"]["properties"]["port"]
+    assert port == {"type": ["integer", "null"], "minimum": 0, "maximum": 65535}
+
+
+def test_sources_are_checked(spark):
+    with pytest.raises(ValueError, match="sources.0.task"):
+        documents.load_sources(spark, "sources:\n- {url: 'https://x', task: huge}\n")
+
+
+def test_needles_in_blocks(spark):
+    texts = spark.createDataFrame([(1, "the mail gateway"), (2, "gate"), (3, "ab"), (4, None)], "i int, t string")
+    needles = spark.createDataFrame([("gate",), ("mail gate",), ("ab",), ("the",), ("zzz",)], "n string")
+    found = relational.containing(texts, "t", needles, "n", 3, 0, block_bytes=5)
+    assert sorted((r["i"], r["n"]) for r in found.collect()) == [(1, "gate"), (1, "mail gate"), (1, "the"), (2, "gate")]
