@@ -444,3 +444,47 @@ def test_pipeline_odd(spark, odd):
         assert df.columns == odd.columns
     assert corpus_pipeline.STAGES[-1][1](spark, df, SF).count() >= 0
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_scores_do_not_depend_on_the_order_of_rows(spark, docs):
+    held = remainder(F.col("doc_id"), 10) == 0
+    one = {r["doc_id"]: r["score"] for r in lmscore.score(docs, held, chunk_chars=150_000).collect()}
+    two = {r["doc_id"]: r["score"] for r in lmscore.score(docs.repartition(7).orderBy(F.desc(F.xxhash64("doc_id"))), held, chunk_chars=150_000).collect()}
+    assert one == two
+
+
+def test_components_of_any_size_are_exact(spark):
+    """Scores beyond 2**53, beyond 64 bits, and components beyond 2**31 after scaling, against Python's integers."""
+    big = float(2**22)
+    rows = [(0, [big, 1.0 / 256]), (1, [big, 0.0]), (2, [big, 1.0 / 256]), (3, [-big, 2.0]), (4, [1e7, 1.0]), (5, [1e300, -3.0]), (6, [-1e300, 5.0]), (7, [0.5, 0.25]), (8, None), (9, [float("nan"), 1.0])]
+    floor = lambda x: int(x) * 256 if abs(x) > 1e15 else math.floor(256 * x)
+    q = {i: [floor(x) for x in v] for i, v in rows if v and all(map(math.isfinite, v))}
+    for shard in (8192, 2):
+        found = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") < 6, shard_rows=shard, block_rows=4).collect()
+        got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in found}
+        want = {}
+        for i in range(6):
+            scores = sorted(((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j != i))
+            want |= {(i, n): (j, max(min(-s, 2**63 - 1), -(2**63))) for n, (s, j) in enumerate(scores[:5], 1)}
+        assert got == want
+
+
+def test_bin_completion_with_a_dozen_lengths():
+    found, bound = packing.bin_completion(Counter([10, 12, 18, 20, 23, 26, 39, 45, 46, 46, 47, 59]), 100)
+    assert sum(times for _, times in found) == bound == 4
+    rng = random.Random(3)
+    for _ in range(60):
+        lengths = [rng.randint(8, 70) for _ in range(rng.randint(8, 13))]
+        found, bound = packing.bin_completion(Counter(lengths), 100)
+        assert sum(times for _, times in found) == bound == exact_bins(lengths, 100), lengths
+
+
+def test_shared_folder_is_needed_on_a_cluster(spark, monkeypatch):
+    from sigloom.llm import common
+
+    class Away:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"master": "spark://host:7077", "getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(ValueError):
+        common.shared_dir(Away)

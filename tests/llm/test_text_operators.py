@@ -243,3 +243,113 @@ def test_pages_odd(spark):
     rows = [(1, None, None, "x"), (2, "u", "", "x"), (2, "u", "", "x"), (None, "u", "<p>hello there, this is text.", "x")]
     got = htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
     assert sorted(r["text"] for r in got) == ["", "", "", "hello there, this is text."]
+
+
+# --- values of any length, attributes, mixtures -----------------------------------------------
+
+
+def test_values_of_any_length():
+    value = "a1" * 400
+    jwt = "eyJ0" + "aB3_-." * 300 + "x"
+    cases = {
+        f"token={value} end": ("secret", value),
+        f'token = "{value}" end': ("secret", value),
+        f"PassWord: {jwt} end": ("secret", jwt),
+        f"see https://{'u' * 300}:pw@host.org/x now": ("url", f"https://{'u' * 300}:pw@host.org/x"),
+        "svn+ssh://bob@host.org": ("url", "svn+ssh://bob@host.org"),
+        f"account: {'1234' * 20}.": ("account", "1234" * 20),
+        "AcCount: 12345678": ("account", "12345678"),
+        "pay DE89 3704 0044 0532 0130 00 NOW": ("iban", "DE89 3704 0044 0532 0130 00"),
+    }
+    for t, (kind, found) in cases.items():
+        assert [t[a:b] for a, b in pii.find(t).get(kind, [])] == [found], t
+    assert pii.redact(f"token={value} end") == "token=<SECRET> end"
+    assert pii.find("XDE89370400440532013000 DE89370400440532013001").get("iban") is None
+    long = "token=" * 100_000  # linear, whatever the text
+    assert pii.find(long) == {}
+
+
+KEPT = ['title="a hidden gem"', 'data-id="ad-17"', 'data-role="search"', 'data-style="display:none"', 'data-class="related"', 'class="post side-by-side"', 'id="notice-of-award"']
+LEFT = ['class="ad"', "class=site-footer", "id='cookie-bar'", "hidden", 'role="search"', 'style="color:red;display: none"', 'class="post sidebar"', 'aria-hidden="true"']
+
+
+@pytest.mark.parametrize("attributes", KEPT)
+def test_attributes_that_say_nothing(attributes):
+    page = f"<article><p>First paragraph, long enough to count, with commas.</p><p {attributes}>Second paragraph, which is part of the text.</p></article>"
+    assert "Second paragraph" in htmltext.main_text(page)
+
+
+@pytest.mark.parametrize("attributes", LEFT)
+def test_attributes_that_leave_out(attributes):
+    page = f"<article><p>First paragraph, long enough to count, with commas.</p><div {attributes}>Second paragraph, which is no part of the text.</div></article>"
+    assert "Second paragraph" not in htmltext.main_text(page)
+
+
+def test_deep_nesting():
+    """A paragraph below a hundred open elements is ended by the next one; a long nest takes no time."""
+    page = "<article><p>One, two, three, four, five, six.<b><i>" + "<span>" * 100 + "seven<p>eight, nine, ten, eleven, twelve</article>"
+    assert htmltext.main_text(page).split("\n\n") == ["One, two, three, four, five, six.seven", "eight, nine, ten, eleven, twelve"]
+    assert htmltext.main_text("<div>" * 50_000 + "deep down, there is a text" + "</div>" * 50_000) == "deep down, there is a text"
+
+
+def brute_mixture(model, text):
+    """The chosen languages' shares by plain loops: EM from equal shares, then every set that the order of the shares gives."""
+    import math
+
+    buckets, words, _ = langid.features([text])
+    edges = [*words, len(buckets)]
+    like = [[sum(float(model.table[b, k]) for b in buckets[a:z]) for k in range(len(model.languages))] for a, z in zip(edges, edges[1:])]
+    n = len(like)
+
+    def em(langs):
+        pi = {k: 1 / len(langs) for k in langs}
+        for _ in range(langid.ROUNDS):
+            total = dict.fromkeys(langs, 0.0)
+            for row in like:
+                top = max(row)
+                r = {k: math.exp(row[k] - top) * pi[k] for k in langs}
+                z = sum(r.values())
+                for k in langs:
+                    total[k] += r[k] / z
+            pi = {k: v / n for k, v in total.items()}
+        fit = sum(max(row) + math.log(sum(math.exp(row[k] - max(row)) * pi[k] for k in langs)) for row in like)
+        return pi, fit
+
+    everything = range(len(model.languages))
+    order = sorted(everything, key=lambda k: -em(list(everything))[0][k])
+    best = max(everything, key=lambda k: sum(row[k] for row in like))
+    value, shares = sum(row[best] for row in like), {best: 1.0}
+    for size in range(2, len(order) + 1):
+        pi, fit = em(order[:size])
+        if fit - (size - 1) * math.log(n + 1) > value:
+            value, shares = fit - (size - 1) * math.log(n + 1), pi
+    return shares
+
+
+def test_mixture_equals_plain_loops(spark, docs):
+    model = langid.fit(docs, remainder(F.col("doc_id"), 4) != 2)
+    by = {}
+    for r in docs.where("length(text) between 50 and 3000").select("lang", "text").orderBy("doc_id").collect():
+        by.setdefault(r["lang"], []).append(r["text"])
+    assert len(by) >= 3
+    texts = [t[0] for t in by.values()] + [" ".join(t[0] for t in by.values())]  # the last one in every language
+    names, score, sets = model.predict(texts)
+    for t, name, value, chosen in zip(texts, names, score, sets):
+        shares = brute_mixture(model, t)
+        assert model.languages[max(shares, key=shares.get)] == name and value == pytest.approx(min(1.0, max(shares.values())), abs=1e-6)
+        assert {x.split(":")[0] for x in chosen.split(",")} == {model.languages[k] for k, v in shares.items() if v > 1e-4}
+    assert sets[-1].count(":") >= len(by)
+
+
+@pytest.mark.parametrize("empty", ["quality", "tokencount", "spiece", "langid", "htmltext", "pii"])
+def test_empty_tables(spark, docs, empty):
+    none = docs.limit(0)
+    made = {
+        "quality": lambda: quality.quality(none),
+        "tokencount": lambda: tokencount.count_tokens(none),
+        "spiece": lambda: spiece.encode(none),
+        "langid": lambda: langid.identify(none, langid.fit(none, F.lit(True)), F.lit(False)),
+        "htmltext": lambda: htmltext.extract(spark.createDataFrame([], "page_id long, url string, html string")),
+        "pii": lambda: pii.find_pii(none),
+    }
+    assert made[empty]().count() == 0
