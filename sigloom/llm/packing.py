@@ -46,7 +46,7 @@ SIZE = 2048
 #: The dives: finished packings that are looked for, fillings tried per sequence, nodes of one enumeration, nodes at least.
 DIVES, WIDTH, FILL_NODES, NODES = 4, 3, 400, 1200
 #: The exact search: steps of all its enumerations and of what it copies, together.
-EXACT_STEPS = 300_000
+EXACT_STEPS = 100_000
 
 Run = tuple[int, int, int, int, int, int]
 
@@ -187,14 +187,21 @@ def bin_completion(counts: dict[int, int], size: int = SIZE) -> tuple[list[Patte
     total = sum(n * c for n, c in counts.items())
     nodes = dives = 0
     most = max(NODES, 2 * len(best))
-    stack = [(dict(counts), [], 0, 0)]
+    # What waits is kept as small arrays and as links to the patterns before, as thousands may wait.
+    packed = lambda left: np.array(list(left.items()), dtype=np.int64).reshape(-1, 2)
+    stack = [(packed(counts), None, 0, 0)]
     while stack and fewest > bound and dives < DIVES and nodes < most:
-        left, made, used, waste = stack.pop()
+        waiting, made, used, waste = stack.pop()
+        left = dict(waiting.tolist())
         nodes += 1
         if not left:
             dives += 1
             if used < fewest:
-                best, fewest = made, used
+                best, fewest = [], used
+                while made is not None:
+                    pattern, made = made
+                    best.append(pattern)
+                best.reverse()
             continue
         lengths = sorted(left)
         top = lengths[-1]
@@ -210,7 +217,8 @@ def bin_completion(counts: dict[int, int], size: int = SIZE) -> tuple[list[Patte
                 if waste + room * times > (fewest - 1) * size - total:
                     continue
             rest = {n: c - merged.get(n, 0) * times for n, c in left.items()}
-            stack.append(({n: c for n, c in rest.items() if c}, [*made, (tuple(merged.items()), times)], used + times, waste + room * times))
+            stack.append((packed({n: c for n, c in rest.items() if c}), ((tuple(merged.items()), times), made), used + times, waste + room * times))
+    del stack
     if fewest > bound:
         found, proven = completed(counts, size, fewest, bound)
         if found is not None:
