@@ -2,9 +2,9 @@
 over subwords (see ``attention``).
 
 Documents are dealt to chunks of bounded size by a hash of id and text. 1. One map per chunk counts
-the words of its training documents, notes those of the others, and trains the model on every window
+the words of its training documents, notes those of the others, spells all, and trains the model on every window
 of all its training documents (their number grows with the text) from a common start. 2. Counts of a
-word are summed over the chunks that hold it, where they are needed: one row per word and chunk,
+word are summed over the chunks that hold it, where they are needed: one row (with its subwords) per word and chunk,
 never one per occurrence, and no dictionary is broadcast. 3. The chunks' weights are averaged per
 parameter; subword counts of all training texts follow from the word counts. 4. Each chunk meets
 its words again and scores its documents: the base from the counts, the model in batches.
@@ -17,28 +17,27 @@ The model's text is the base's: words in lower case, each with a space before it
 Its score is the sum of log10 probabilities of these subwords. Null counts as the empty text, which
 is one end. Repeated rows are scored (and counted) each; without training documents every count is
 0 and the weights are the initial ones; an empty table gives no rows; long texts are scored whole.
-Scores don't depend on the order of rows: chunks follow from ids and texts, each is trained and
-scored in the order of its texts, and weights are averaged as integers. Other columns aren't read,
+Scores don't depend on the order of rows: chunks follow from ids and texts, each is trained in the
+order of hashes of its texts and scored in that of ids and texts, and weights are averaged as integers. Other columns aren't read,
 whatever their names.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
-from zlib import crc32
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import attention
-from .common import sizes, spans, strings, written
+from .common import sizes, spans, written
 
 CHUNK_CHARS = 24_000_000
 #: Training steps of a chunk at least; one with more windows takes as many steps as meet each of them.
@@ -62,24 +61,33 @@ class Subwords:
             tokens[i] = token
         self.width = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
         self.class_of = attention.classes_of(tokens, self.end)
+        self.kind = np.dtype("<u2" if self.end < 1 << 16 else "<u4")
 
-    def __call__(self, words: list[bytes], group: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, words: list[bytes] | pa.Array, group: int = 1024) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the number of ids of each word."""
+        words = words if isinstance(words, pa.Array) else pa.array(words, pa.large_binary())
+        length = 1 + pc.binary_length(words).to_numpy()
+        nothing, space = (pa.scalar(x, words.type) for x in (b"", b" "))
+        spaced = memoryview(pc.binary_join_element_wise(nothing, words, space).buffers()[2] or b"")  # a space before each word
+        begin = np.concatenate(([0], np.cumsum(length)))
         flat, sizes = [], []
-        for at in range(0, len(words), group):
-            some = words[at : at + group]
-            ids = self.encoding.encode_to_numpy((b" " + b" ".join(some)).decode("utf-8", "replace"), disallowed_special=()).astype(np.int64)
+        open_ = [(a, min(a + group, len(words))) for a in range(0, len(words), group)][::-1]
+        while open_:
+            a, b = open_.pop()
+            text = spaced[begin[a] : begin[b]].tobytes().decode("utf-8", "replace")
+            ids = self.encoding.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
             ends = np.cumsum(self.width[ids])
-            cuts = np.cumsum([1 + len(w) for w in some])
+            cuts = begin[a + 1 : b + 1] - begin[a]
             edge = np.searchsorted(ends, cuts) + 1
             if len(ends) and ends[-1] == cuts[-1] and (ends[edge - 1] == cuts).all():
                 flat.append(ids)
                 sizes.append(np.diff(np.concatenate(([0], edge))))
-            else:  # a token reaches over two words: white space beyond ASCII
-                for w in some:
-                    one = self.encoding.encode_to_numpy(" " + w.decode("utf-8", "replace"), disallowed_special=()).astype(np.int64)
-                    flat.append(one)
-                    sizes.append(np.array([len(one)]))
+            elif b - a > 1:  # a token reaches over two words: white space beyond ASCII
+                half = (a + b) // 2
+                open_ += [(half, b), (a, half)]
+            else:
+                flat.append(ids)
+                sizes.append(np.array([len(ids)]))
         none = np.zeros(0, dtype=np.int64)
         return np.concatenate(flat or [none]), np.concatenate(sizes or [none])
 
@@ -94,6 +102,25 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+_FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz" + b" " * 5)
+
+
+def _split(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """What ``words_of`` gives, of all texts one after the other, and the number of each text's words."""
+    column = column.cast(pa.large_binary())
+    _, begins, data = column.buffers()
+    edge = np.frombuffer(begins, dtype=np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, dtype=np.int64)
+    data = memoryview(data)[edge[0] : edge[-1]].tobytes().translate(_FOLD) if data is not None else b""
+    folded = pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(edge - edge[0]), pa.py_buffer(data)])
+    parts = pc.split_pattern(folded, " ")
+    words, per = parts.flatten(), pc.list_value_length(parts).to_numpy().astype(np.int64)
+    del parts, folded, data
+    some = sizes(words) > 0  # the parts between two spaces aren't words
+    if some.all():
+        return words, per
+    return words.filter(pa.array(some)), np.diff(np.concatenate(([0], np.cumsum(some)))[np.concatenate(([0], np.cumsum(per)))])
+
+
 def _gather(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the words ``at``, one after the other, and how many each has."""
     own = size[at]
@@ -101,21 +128,45 @@ def _gather(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndar
     return flat[np.repeat(begin - (np.cumsum(own) - own), own) + np.arange(int(own.sum()))], own
 
 
-def _training_ids(texts: list[bytes], words: list[bytes], sub: Subwords) -> tuple[np.ndarray, np.ndarray]:
+def _spelled(at: np.ndarray, per: np.ndarray, flat: np.ndarray, width: np.ndarray, end: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Subwords of texts of the words ``at``, ``per`` of them each, and an end after each text: texts, ids, number of ids."""
+    first = np.concatenate(([0], np.cumsum(per)))
+    for a, b in spans(per, 256, 1 << 18):
+        some, own = _gather(flat, width, at[first[a] : first[b]])
+        edge = np.concatenate(([0], np.cumsum(own)))[first[a : b + 1] - first[a]]
+        yield slice(a, b), np.insert(some, edge[1:], end), np.diff(edge) + 1
+
+
+def _all_spelled(at: np.ndarray, per: np.ndarray, flat: np.ndarray, width: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """All subwords of all texts, an end after each text, and each text's number of them."""
-    index = dict(zip(words, range(len(words))))
-    flat, width = sub(words)
-    flat = flat.astype(np.int32)
-    ids, lengths = [], []
-    for a, b in spans(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)), 256, 2 << 20):
-        own = [t.split() for t in texts[a:b]]
-        per = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
-        at = np.fromiter(map(index.__getitem__, chain.from_iterable(own)), dtype=np.int64, count=int(per.sum()))
-        some, sizes_at = _gather(flat, width, at)
-        edge = np.concatenate(([0], np.cumsum(sizes_at)))[np.concatenate(([0], np.cumsum(per)))]
-        ids.append(np.insert(some, edge[1:], sub.end))
-        lengths.append(np.diff(edge) + 1)
-    return np.concatenate(ids or [flat[:0]]), np.concatenate(lengths or [np.zeros(0, dtype=np.int64)])
+    parts = [*_spelled(at, per, flat.astype(np.int32), width, end)]
+    none = np.zeros(0, dtype=np.int32)
+    return np.concatenate([x for _, x, _ in parts] or [none]), np.concatenate([n for _, _, n in parts] or [none.astype(np.int64)])
+
+
+def _training_ids(texts: list[bytes], words: list[bytes], sub: Subwords) -> tuple[np.ndarray, np.ndarray]:
+    """The same of texts that consist of ``words``."""
+    found, per = _split(pa.array(texts, pa.large_binary()))
+    return _all_spelled(_places(found, pa.array(words, pa.large_binary())), per, *sub(words), sub.end)
+
+
+def _packed(flat: np.ndarray, width: np.ndarray, kind: np.dtype) -> pa.Array:
+    """Ids of each word as bytes."""
+    edge = np.concatenate(([0], np.cumsum(width * kind.itemsize)))
+    return pa.Array.from_buffers(pa.large_binary(), len(width), [None, pa.py_buffer(edge), pa.py_buffer(flat.astype(kind))])
+
+
+def _unpacked(ids: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """Flat ids and the number of ids of each word."""
+    data = ids.cast(pa.large_binary()).buffers() if len(ids) else [None, b"\0" * 8, None]
+    edge = np.frombuffer(data[1], dtype=np.int64)[ids.offset : ids.offset + len(ids) + 1]
+    flat = np.frombuffer(memoryview(data[2] or b"")[edge[0] : edge[-1]], dtype=kind)
+    return flat.astype(np.int32), np.diff(edge) // kind.itemsize
+
+
+def _places(found: pa.Array, words: pa.Array) -> np.ndarray:
+    """Where in ``words`` each of ``found`` is."""
+    return pc.index_in(found, words.cast(found.type)).to_numpy()
 
 
 #: Weights are averaged as integers, so that their order doesn't matter.
@@ -158,48 +209,61 @@ def score(
     chunks = max(1, math.ceil((size or 0) / chunk_chars))
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, Counter] = {}
-        others: dict[int, set] = {}
-        texts: dict[int, list[bytes]] = {}
+    def read(batches: Iterator[pa.RecordBatch]) -> dict[int, list[tuple[bool, pa.Array, np.ndarray, list[bytes]]]]:
+        """Of each chunk: whether held out, words, texts' numbers of them, and hashes of the training texts."""
+        texts: dict[int, list[tuple[bool, pa.Array, np.ndarray, list[bytes]]]] = {}
         for batch in batches:
-            for t, out, at in zip(strings(batch.column(2)), batch.column(1).to_pylist(), batch.column(3).to_pylist()):
-                words = words_of(t)
-                if out:
-                    others.setdefault(at, set()).update(words)
-                else:
-                    counts.setdefault(at, Counter()).update(words)
-                    texts.setdefault(at, []).append(b" ".join(words))
+            where, out = batch.column(3).to_numpy(), pc.fill_null(batch.column(1), False).to_numpy(zero_copy_only=False)
+            for at in np.unique(where).tolist():
+                for held in (False, True):
+                    own = batch.column(2).filter(pa.array((where == at) & (out == held)))
+                    order = [] if held else [blake2b(t.as_buffer(), digest_size=16).digest() for t in own]
+                    texts.setdefault(at, []).append((held, *_split(own), order))
+        return texts
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = read(batches)  # whose batches end there
         sub = subwords_of(path)
-        for at in counts.keys() | others.keys():
-            own = counts.pop(at, Counter())
-            more = others.pop(at, set()).difference(own)
-            words = [*own, *more]
-            number = [*own.values(), *([0] * len(more))]
+        for at in [*texts]:
+            parts = sorted(texts.pop(at), key=lambda x: x[0])  # the training texts first
+            found = pa.chunked_array([x[1] for x in parts if len(x[1])], pa.large_binary())
+            coded = found.dictionary_encode().combine_chunks() if len(found) else pa.array([], pa.large_binary()).dictionary_encode()
+            words = coded.dictionary
+            flat, width = sub(words)
+            ids = _packed(flat, width, sub.kind)
+            per = np.concatenate([x[2] for x in parts if not x[0]])
+            order = [x for part in parts for x in part[3]]
+            numbers = coded.indices.to_numpy()[: int(per.sum())]
+            del parts, found, coded
+            number = np.bincount(numbers, minlength=len(words))
             for a in range(0, len(words), 65536):
-                part = words[a : a + 65536]
-                yield _row(at, part, number[a : a + 65536], None)
-            ids, lengths = _training_ids(sorted(texts.pop(at, [])), [*own], sub)  # in an order that no shuffle changes
+                yield _row(at, words[a : a + 65536], number[a : a + 65536], ids[a : a + 65536], None)
+            del words, ids
+            pa.default_memory_pool().release_unused()
+            numbers, per = _gather(numbers, per, np.array(sorted(range(len(order)), key=order.__getitem__), dtype=np.int64))  # an order that no shuffle changes
+            ids, lengths = _all_spelled(numbers, per, flat, width, sub.end)
+            del numbers, flat, width
             w = attention.train(attention.initial(), ids, lengths, sub.class_of, STEPS)
-            yield _row(at, [None], [0], attention.pack(w))
+            yield _row(at, pa.nulls(1, pa.binary()), [0], pa.nulls(1, pa.binary()), attention.pack(w))
 
-    def _row(at: int, words, number, weights) -> pa.RecordBatch:
+    def _row(at: int, words: pa.Array, number, ids: pa.Array, weights) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.full(len(words), at, dtype=np.int32)),
-                pa.array(words, pa.binary()),
+                words.cast(pa.binary()),
                 pa.array(number, pa.int64()),
+                ids.cast(pa.binary()),
                 pa.array([weights] if weights is not None else [None] * len(words), pa.list_(pa.float32())),
             ],
-            names=["chunk", "word", "n", "weights"],
+            names=["chunk", "word", "n", "ids", "weights"],
         )
 
     local = written(
-        dealt.repartitionById(chunks, F.col("chunk")).mapInArrow(count, "chunk int, word binary, n bigint, weights array<float>"), "words"
+        dealt.repartitionById(chunks, F.col("chunk")).mapInArrow(count, "chunk int, word binary, n bigint, ids binary, weights array<float>"), "words"
     )
     same = Window.partitionBy("word")
     counted = written(
-        local.where("word is not null").select("chunk", "word", F.sum("n").over(same).alias("c"), (F.col("chunk") == F.min("chunk").over(same)).alias("once")),
+        local.where("word is not null").select("chunk", "word", "ids", F.sum("n").over(same).alias("c"), (F.col("chunk") == F.min("chunk").over(same)).alias("once")),
         "counts",
     )
     n, v = counted.where("once and c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
@@ -209,12 +273,12 @@ def score(
         sub = subwords_of(path)
         total = np.zeros(sub.end + 1, dtype=np.int64)
         for batch in batches:
-            flat, sizes = sub(batch.column(0).to_pylist())
+            flat, sizes = _unpacked(batch.column(0), sub.kind)
             total += np.bincount(flat, weights=np.repeat(batch.column(1).to_numpy(), sizes), minlength=len(total)).astype(np.int64)
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], names=["id", "n"])
 
-    found = counted.where("once and c > 0").select("word", "c").mapInArrow(subword_counts, "id bigint, n bigint")
+    found = counted.where("once and c > 0").select("ids", "c").mapInArrow(subword_counts, "id bigint, n bigint")
     sub = subwords_of(path)
     seen = np.zeros(sub.end + 2)
     for row in found.groupBy("id").agg(F.sum("n").alias("n")).collect():  # at most the vocabulary
@@ -229,34 +293,30 @@ def score(
         docs = docs.sort_by([("doc_id", "ascending"), ("text", "ascending")])  # batches that no shuffle changes
         sub = subwords_of(path)
         scorer = attention.Scorer(attention.unpack(weights), sub.class_of, within)
-        names = words["word"].to_pylist()
         c = words["c"].to_numpy().astype(np.float64)
-        index = dict(zip(names, range(len(names))))
-        flat, width = sub(names)
-        del names
+        found, per = _split(docs["text"].combine_chunks())
+        at = _places(found, words["word"].combine_chunks())
+        flat, width = _unpacked(words["ids"].combine_chunks(), sub.kind)
+        docs = docs.drop_columns("text")
+        del found
+        pa.default_memory_pool().release_unused()
         word_score = np.log10((c + 0.1) / scale)
         known = c > 0
         end_score, end_known = math.log10((n_train + 0.1) / scale), int(n_train > 0)
-        tokens, knowns, bases, models = [], [], [], []
-        for a, b in spans(sizes(docs["text"]), 256, 2 << 20):
-            own = [words_of(t) for t in docs["text"].slice(a, b - a).to_pylist()]
-            per = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
-            at = np.fromiter(map(index.__getitem__, chain.from_iterable(own)), dtype=np.int64, count=int(per.sum()))
-            edge = np.concatenate(([0], np.cumsum(per)))
-            total = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[edge])  # noqa: B023, E731
-            row = np.repeat(np.arange(len(own)), per)
-            tokens.append(per + 1)
-            knowns.append(total(known[at]) + end_known)
-            bases.append(np.bincount(row, weights=word_score[at], minlength=len(own)) + end_score)
-            ids, sizes_at = _gather(flat, width, at)
-            id_edge = np.concatenate(([0], np.cumsum(sizes_at)))[edge]
-            models.append(scorer(np.insert(ids, id_edge[1:], sub.end), np.diff(id_edge) + 1) / math.log(10))
+        edge = np.concatenate(([0], np.cumsum(per)))
+        knowns, bases, models = [], [], []
+        for span, ids, lengths in _spelled(at, per, flat, width, sub.end):
+            own = at[edge[span.start] : edge[span.stop]]
+            row = np.repeat(np.arange(len(lengths)), per[span])
+            knowns.append(np.bincount(row, weights=known[own], minlength=len(lengths)).astype(np.int64) + end_known)
+            bases.append(np.bincount(row, weights=word_score[own], minlength=len(lengths)) + end_score)
+            models.append(scorer(ids, lengths) / math.log(10))
         column = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)
         return pa.table(
             {
                 "doc_id": docs["doc_id"],
                 "held_out": docs["held_out"],
-                "n_tokens": column(tokens, pa.int64()),
+                "n_tokens": pa.array(per + 1, pa.int64()),
                 "n_known": column(knowns, pa.int64()),
                 "train_tokens": pa.array(np.full(docs.num_rows, n, dtype=np.int64)),
                 "base_score": column(bases, pa.float64()),
@@ -268,7 +328,7 @@ def score(
     return (
         dealt.repartitionById(chunks, F.col("chunk"))
         .groupBy("chunk")
-        .cogroup(counted.select("chunk", "word", "c").repartitionById(chunks, F.col("chunk")).groupBy("chunk"))
+        .cogroup(counted.select("chunk", "word", "ids", "c").repartitionById(chunks, F.col("chunk")).groupBy("chunk"))
         .applyInArrow(
             scored,
             "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",

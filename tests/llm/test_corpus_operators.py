@@ -2,11 +2,13 @@
 
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +53,15 @@ def test_scores_odd(odd):
     assert lmscore.score(odd.limit(0), F.lit(False)).count() == 0
 
 
+def test_scores_of_blank_texts(spark):
+    """Chunks without any word, held out or not."""
+    blank = spark.createDataFrame([(1, ""), (2, None), (3, " \n "), (4, "")], "doc_id long, text string")
+    for held, n in ((F.col("doc_id") < 3, 2), (F.lit(False), 4), (F.lit(True), 0)):
+        got = lmscore.score(blank, held).collect()
+        assert sorted((r["doc_id"], r["n_tokens"], r["train_tokens"]) for r in got) == [(i, 1, n) for i in range(1, 5)]
+        assert all(math.isfinite(r["score"]) for r in got)
+
+
 def test_gradient():
     rng = np.random.default_rng(0)
     w = {k: v.astype(np.float64) for k, v in attention.initial().items()}
@@ -68,6 +79,59 @@ def test_gradient():
         assert g[name][at] == pytest.approx((up - down) / 2e-5, abs=1e-6)
 
 
+def plain_gradient(w, x_class, x_hash, target, live):
+    """The formula, product by product."""
+    s = attention.DIM**-0.5
+    total = lambda x, y: np.tensordot(x, y, ((0, 1), (0, 1)))
+    X = w["E"][x_class] + w["H"][x_hash] + w["P"]
+    Xq = X[:, 15:31]
+    q, k, v = Xq @ w["Q"] * s, X @ w["K"], X @ w["V"]
+    a = np.exp(q @ k.transpose(0, 2, 1) + attention._FAR)
+    a /= a.sum(axis=2, keepdims=True)
+    r = Xq + a @ v
+    o = np.tanh(r @ w["W"] + w["b"])
+    d = np.exp(o @ w["U"] + w["c"])
+    d /= d.sum(axis=2, keepdims=True)
+    rows, cols = np.nonzero(live)
+    loss = -np.log(d[rows, cols, target[rows, cols]]).mean()
+    d[rows, cols, target[rows, cols]] -= 1
+    d *= live[:, :, None] / w["c"].dtype.type(live.sum())
+    do = d @ w["U"].T * (1 - o * o)
+    dr = do @ w["W"].T
+    dv, da = a.transpose(0, 2, 1) @ dr, dr @ v.transpose(0, 2, 1)
+    da = a * (da - (da * a).sum(axis=2, keepdims=True))
+    dq, dk = da @ k * s, da.transpose(0, 2, 1) @ q
+    dX = dk @ w["K"].T + dv @ w["V"].T
+    dX[:, 15:31] += dr + dq @ w["Q"].T
+    g = {"E": np.zeros_like(w["E"]), "H": np.zeros_like(w["H"]), "P": dX.sum(axis=0), "Q": total(Xq, dq), "K": total(X, dk), "V": total(X, dv)}
+    np.add.at(g["E"], x_class, dX)
+    np.add.at(g["H"], x_hash, dX)
+    return loss, g | {"W": total(r, do), "b": do.sum(axis=(0, 1)), "U": total(o, d), "c": d.sum(axis=(0, 1))}
+
+
+def test_graph_is_the_gradient_and_takes_less_time():
+    """In single precision, with targets that don't count, against the formula, in 0.4 of its CPU time (before, in numpy, 0.5 to 0.9)."""
+    rng = np.random.default_rng(5)
+    w = attention.initial(3)
+    x_class, x_hash = rng.integers(0, attention.CLASSES + 1, (384, 32)), rng.integers(0, attention.HASHED, (384, 32))
+    target, live = rng.integers(0, attention.CLASSES, (384, 16)), rng.random((384, 16)) < 0.9
+    loss, g = attention.loss_and_gradient(w, x_class, x_hash, target, live)
+    expected, h = plain_gradient({n: x.astype(np.float64) for n, x in w.items()}, x_class, x_hash, target, live)
+    assert loss == pytest.approx(expected, rel=1e-5)
+    for name in attention.SHAPES:
+        assert g[name].dtype == np.float32 and np.abs(g[name] - h[name]).max() < 1e-5 * max(1, np.abs(h[name]).max())
+
+    def took(f):
+        times = []
+        for _ in range(15):
+            began = time.thread_time()
+            f(w, x_class, x_hash, target, live)
+            times.append(time.thread_time() - began)
+        return min(times)
+
+    assert took(attention.loss_and_gradient) < 0.4 * took(plain_gradient)
+
+
 def test_scorer_is_the_model_and_causal(texts):
     """The batched tables give what the plain formula gives, each token once, and nothing looks ahead."""
     sub = lmscore.subwords_of(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -125,6 +189,18 @@ def test_training_meets_every_window(spark, texts, monkeypatch):
     assert len(seen) == math.ceil((-(-lengths // attention.STEP)).sum() / 384) and len(ids) <= sum(seen) < len(ids) + 384 * 16
 
 
+def test_split_is_words_of():
+    texts = ["A b\tC\n\n d ", "", "   ", "\xa0X y", "日本 語", "a\x00b\x1fc", "one", "É\r\fé\v"]
+    for some in (texts, texts[6:7], [""], []):
+        words, per = lmscore._split(pa.array(["cut", *some, "off"]).slice(1, len(some)))
+        assert words.to_pylist() == [w for t in some for w in lmscore.words_of(t)] and per.tolist() == [len(lmscore.words_of(t)) for t in some]
+    sub = lmscore.subwords_of(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    flat, width = sub([w for t in texts for w in lmscore.words_of(t)])
+    for kind in (sub.kind, np.dtype("<u4")):
+        again = lmscore._unpacked(lmscore._packed(flat, width, kind)[1:].cast(pa.binary()), kind)
+        assert again[0].tolist() == flat[width[0] :].tolist() and again[1].tolist() == width[1:].tolist()
+
+
 def test_subwords_of_odd_words():
     sub = lmscore.subwords_of(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     words = [w.encode() for w in ("a", "b\xa0", "\xa0c", "日本", "x" * 500, "🙂", "don't")]
