@@ -83,18 +83,32 @@ def hashed(ids: np.ndarray) -> np.ndarray:
 
 
 def windows(ids: np.ndarray, sizes: np.ndarray, pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Padded ids, each window's first place in them, and each window's document, for documents in a row."""
+    """Padded ids in blocks of STEP, each window's first block, and each window's document, for documents in a row."""
     count = -(-sizes // STEP)
-    length = STEP + count * STEP
-    base = np.cumsum(length) - length
-    stream = np.full(int(length.sum()), pad, dtype=ids.dtype)
+    base = np.cumsum(1 + count) - (1 + count)
+    stream = np.full((int((1 + count).sum()), STEP), pad, dtype=ids.dtype)
+    flat = stream.ravel()
     first = np.cumsum(sizes) - sizes
     for a, b in spans(sizes, 4096, 1 << 18):  # places of few ids at once
         own = slice(first[a], first[b - 1] + sizes[b - 1])
-        stream[np.repeat(base[a:b] + STEP - first[a:b], sizes[a:b]) + np.arange(own.start, own.stop)] = ids[own]
+        flat[np.repeat((base[a:b] + 1) * STEP - first[a:b], sizes[a:b]) + np.arange(own.start, own.stop)] = ids[own]
     doc = np.repeat(np.arange(len(sizes)), count)
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-    return stream, base[doc] + nth * STEP, doc
+    return stream, base[doc] + nth, doc
+
+
+def _pairs(blocks: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Windows of the blocks that begin at ``first``: whole blocks are copied, not places."""
+    return np.take(blocks, first[:, None] + np.arange(WINDOW // STEP), axis=0).reshape(-1, WINDOW, *blocks.shape[2:])
+
+
+def _rows(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rows of ``table``; each of 16 single-precision numbers is one line of the cache, as long as the first begins one."""
+    size = at.size * DIM * table.itemsize
+    raw = np.empty(size + 64, dtype=np.uint8)
+    begin = -raw.ctypes.data % 64
+    out = raw[begin : begin + size].view(table.dtype).reshape(*at.shape, DIM)
+    return np.take(table, at, axis=0, out=out, mode="clip")  # other modes go by way of a copy
 
 
 @lru_cache(maxsize=2)
@@ -109,31 +123,34 @@ def _gradient(dtype: np.dtype):
     turn = lambda x: g("Transpose", x, perm=[0, 2, 1])
     column, rows, batch = whole(-1, 1), whole(-1, DIM), whole(-1, STEP, DIM)
     w = {n: g.input(n, dtype, *s) for n, s in SHAPES.items() if n not in "EHP"}
-    X, live = g.input("X", dtype, "n", WINDOW, DIM), g.input("live", dtype, "m", DIM)
+    X, row = g.input("X", dtype, "n", WINDOW, DIM), g.input("row", dtype, 1, "m")
     x_class, x_hash = g.input("x_class", np.int64, "n", WINDOW), g.input("x_hash", np.int64, "n", WINDOW)
     own, minus = g.input("own", np.int64, "m"), g.input("minus", dtype, "m")
+    dead, none = g.input("dead", np.int64, "k", 1), g.input("none", dtype, "k", CLASSES)
 
     Xt, X3 = turn(X), g("Slice", X, whole(STEP - 1), whole(WINDOW - 1), whole(1))
     Xq = g("Reshape", X3, rows)
     M = g("Mul", g("Gemm", w["Q"], w["K"], transB=1), value(DIM**-0.5))
     q = g("Reshape", g("MatMul", Xq, M), batch)
     a = g("Softmax", g("Add", g("MatMul", q, Xt), value(_FAR)), axis=-1)
-    y3 = g("MatMul", a, X)
-    y = g("Reshape", y3, rows)
+    y = g("Reshape", g("MatMul", a, X), rows)
     r = g("Gemm", y, w["V"], Xq)
     o = g("Tanh", g("Gemm", r, w["W"], w["b"]))
     p = g("Softmax", g("Gemm", o, w["U"], w["c"]), axis=-1)
     flat = g("Reshape", p, whole(-1))
     hit = g("Gather", flat, own)
     d = g("Reshape", g("ScatterND", flat, g("Reshape", own, column), minus, reduction="add"), whole(-1, CLASSES))
+    d = g("ScatterND", d, dead, none)  # targets that don't count
 
-    o_live = g("Mul", o, live)
-    dU, dc = g("Gemm", o_live, d, transA=1), g("MatMul", g.input("row", dtype, 1, "m"), d)
-    do = g("Mul", g("Gemm", d, w["U"], transB=1), g("Sub", live, g("Mul", o_live, o)))
-    dW, db = g("Gemm", r, do, transA=1), g("ReduceSum", do, whole(0), keepdims=0)
+    dU, dc = g("Gemm", o, d, transA=1), g("MatMul", row, d)
+    do = g("Mul", g("Gemm", d, w["U"], transB=1), g("Sub", value(1), g("Mul", o, o)))
+    dW, db = g("Gemm", r, do, transA=1), g("MatMul", row, do)
     dr = g("Gemm", do, w["W"], transB=1)
-    dV, dy = g("Gemm", y, dr, transA=1), g("Reshape", g("Gemm", dr, w["V"], transB=1), batch)
-    ds = g("Mul", a, g("Sub", g("MatMul", dy, Xt), g("ReduceSum", g("Mul", dy, y3), whole(2), keepdims=1)))
+    dy = g("Gemm", dr, w["V"], transB=1)
+    dV, dy_y = g("Gemm", y, dr, transA=1), g("Mul", dy, y)  # its sums over a row are taken from all products of the row
+    dy = g("Reshape", dy, batch)
+    da = g("Gemm", dy_y, value(np.full((DIM, WINDOW), -1)), g("Reshape", g("MatMul", dy, Xt), whole(-1, WINDOW)))
+    ds = g("Mul", a, g("Reshape", da, whole(-1, STEP, WINDOW)))
     dq = g("Reshape", g("MatMul", ds, X), rows)
     dM = g("Mul", g("Gemm", Xq, dq, transA=1), value(DIM**-0.5))
     dX3 = g("Reshape", g("Gemm", dq, M, dr, transB=1), batch)
@@ -148,7 +165,7 @@ def _gradient(dtype: np.dtype):
         "K": g("Gemm", dM, w["Q"], transA=1),
         "V": dV,
         "W": dW,
-        "b": db,
+        "b": g("Reshape", db, whole(-1)),
         "U": dU,
         "c": g("Reshape", dc, whole(-1)),
     }
@@ -161,15 +178,16 @@ def _gradient(dtype: np.dtype):
 def loss_and_gradient(w, x_class, x_hash, target, live):
     """Mean cross-entropy of classes and its gradient for a batch of windows."""
     dtype = w["E"].dtype
-    X = np.take(w["E"], x_class, axis=0)
-    X += np.take(w["H"], x_hash, axis=0)
+    X = _rows(w["E"], x_class)
+    X += _rows(w["H"], x_hash)
     X += w["P"]
     there = live.ravel()
-    row = there.astype(dtype)
+    dead = np.flatnonzero(~there)
     given = {
         "X": X,
-        "row": row.reshape(1, -1),
-        "live": np.repeat(row, DIM).reshape(-1, DIM),
+        "row": np.ones((1, target.size), dtype=dtype),
+        "dead": dead.reshape(-1, 1),
+        "none": np.zeros((len(dead), CLASSES), dtype=dtype),
         "x_class": x_class,
         "x_hash": x_hash,
         "own": target.ravel() + np.arange(0, target.size * CLASSES, CLASSES),
@@ -190,7 +208,6 @@ def train(w, ids, sizes, class_of, steps: int, batch: int = 384, rate: float = 0
         return w
     pad = len(class_of) - 1
     stream, starts, _ = windows(ids, sizes, pad)
-    stream = np.append(stream, stream.dtype.type(pad))
     rng = np.random.default_rng(seed)
     flat = pack(w)
     first, second = np.zeros_like(flat), np.zeros_like(flat)
@@ -199,7 +216,7 @@ def train(w, ids, sizes, class_of, steps: int, batch: int = 384, rate: float = 0
     steps = max(steps, -(-len(starts) // batch))
     for step in range(1, steps + 1):
         pick = np.take(order, np.arange((step - 1) * batch, step * batch), mode="wrap")
-        tokens = np.take(stream, starts[pick][:, None] + np.arange(WINDOW))
+        tokens = _pairs(stream, starts[pick])
         x_class = np.take(class_of, tokens)
         target = x_class[:, STEP:]
         live = target != PAD
@@ -212,9 +229,9 @@ def train(w, ids, sizes, class_of, steps: int, batch: int = 384, rate: float = 0
     return unpack(flat)
 
 
-@lru_cache(maxsize=1)
-def _log_probability():
-    """Of each target's class, in single precision."""
+@lru_cache(maxsize=2)
+def _log_probability(small: bool):
+    """Of each target's class, in single precision; ``small``: no logit is so large that its exponential leaves the range."""
     g = Graph()
     f32 = np.float32
     whole = lambda *x: g.constant(np.array(x, dtype=np.int64))
@@ -225,8 +242,12 @@ def _log_probability():
     s = g("MatMul", g("Reshape", g("MatMul", Xq, M), whole(-1, STEP, DIM)), g("Transpose", X, perm=[0, 2, 1]))
     a = g("Softmax", g("Add", s, g.constant(_FAR)), axis=-1)
     o = g("Tanh", g("Gemm", g("Reshape", g("MatMul", a, X), rows), VW, g("Gemm", Xq, W, b)))
-    p = g("LogSoftmax", g("Gemm", o, U, c), axis=-1)
-    g.output(g("Gather", g("Reshape", p, whole(-1)), own), f32, "m")
+    logit = g("Gemm", o, U, c)
+    if small:
+        total = g("Log", g("Reshape", g("MatMul", g("Exp", logit), g.constant(np.ones((CLASSES, 1), dtype=f32))), whole(-1)))
+        g.output(g("Sub", g("Gather", g("Reshape", logit, whole(-1)), own), total), f32, "m")
+    else:
+        g.output(g("Gather", g("Reshape", g("LogSoftmax", logit, axis=-1), whole(-1)), own), f32, "m")
     return g.session()
 
 
@@ -238,6 +259,7 @@ class Scorer:
         self.class_of, self.within = class_of, within.astype(np.float32)
         self.x = w["E"][class_of] + w["H"][hashed(np.arange(len(class_of)))]
         self.P = w["P"]
+        self.small = bool((np.abs(w["U"]).sum(axis=0) + np.abs(w["c"])).max() < 40)  # each |o| is below 1
         self.given = {"M": w["Q"] @ w["K"].T * np.float32(DIM**-0.5), "VW": w["V"] @ w["W"], **{n: w[n] for n in "WbUc"}}
 
     def __call__(self, ids: np.ndarray, sizes: np.ndarray, batch: int = 384) -> np.ndarray:
@@ -248,12 +270,12 @@ class Scorer:
         pad = len(self.class_of) - 1
         stream, starts, doc = windows(ids, sizes, pad)
         per_window = np.zeros(len(starts))
-        session = _log_probability()
+        session = _log_probability(self.small)
         for a in range(0, len(starts), batch):
-            tokens = np.take(stream, starts[a : a + batch, None] + np.arange(WINDOW))
-            X = np.take(self.x, tokens, axis=0)
+            first = starts[a : a + batch]
+            X = _rows(self.x, _pairs(stream, first))
             X += self.P
-            target = tokens[:, STEP:].ravel()
+            target = np.take(stream, first + 1, axis=0).ravel()
             cls = np.take(self.class_of, target)
             live = cls != PAD
             own = np.where(live, cls, 0) + np.arange(0, len(cls) * CLASSES, CLASSES)

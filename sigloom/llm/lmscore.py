@@ -2,12 +2,13 @@
 over subwords (see ``attention``).
 
 Documents are dealt to chunks of bounded size by a hash of id and text. 1. One map per chunk counts
-the words of its training documents, notes those of the others, spells all, and trains the model on every window
-of all its training documents (their number grows with the text) from a common start. 2. Counts of a
+the words of its training documents, notes those of the others, spells all, keeps each document as the numbers of its
+words, and trains the model on every window of all its training documents (their number grows with the text) from a
+common start. 2. Counts of a
 word are summed over the chunks that hold it, where they are needed: one row (with its subwords) per word and chunk,
 never one per occurrence, and no dictionary is broadcast. 3. The chunks' weights are averaged per
-parameter; subword counts of all training texts follow from the word counts. 4. Each chunk meets
-its words again and scores its documents: the base from the counts, the model in batches.
+parameter, and their subword counts of training texts are added up. 4. Each chunk meets
+its words (by number, so no text is read again) and scores its documents: the base from the counts, the model in batches.
 
 What is gathered grows with the corpus: word counts cover all training texts, and each chunk adds
 its windows. Chunks hold ``chunk_chars`` characters on average; a longer document is in one chunk
@@ -18,7 +19,7 @@ Its score is the sum of log10 probabilities of these subwords. Null counts as th
 is one end. Repeated rows are scored (and counted) each; without training documents every count is
 0 and the weights are the initial ones; an empty table gives no rows; long texts are scored whole.
 Scores don't depend on the order of rows: chunks follow from ids and texts, each is trained in the
-order of hashes of its texts and scored in that of ids and texts, and weights are averaged as integers. Other columns aren't read,
+order of hashes of its texts and scored in that of ids and hashes, and weights are averaged as integers. Other columns aren't read,
 whatever their names.
 """
 
@@ -169,28 +170,29 @@ def _places(found: pa.Array, words: pa.Array) -> np.ndarray:
     return pc.index_in(found, words.cast(found.type)).to_numpy()
 
 
+#: Halves of the numbers of words within a chunk; the high ones are zero but for rare words, and take no space once compressed.
+HALF = np.dtype("<u2")
 #: Weights are averaged as integers, so that their order doesn't matter.
 UNIT = 2.0**30
 
 
-def _mean(rows: DataFrame, chunks: int) -> np.ndarray:
-    """The mean of the chunks' weights: packed arrays, summed within tasks, then within fewer tasks, then here."""
+def _sum(rows: DataFrame, chunks: int, size: int) -> np.ndarray:
+    """The sum of the chunks' packed integers, within tasks, then within fewer tasks, then here."""
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros(attention.SIZE, dtype=np.int64)
+        out = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            flat = batch.column(0).flatten().to_numpy()
-            flat = flat if flat.dtype == np.int64 else np.round(flat.astype(np.float64) * UNIT).astype(np.int64)
-            out += flat.reshape(-1, attention.SIZE).sum(axis=0)
+            for x in batch.column(0):
+                out += np.frombuffer(x.as_buffer(), dtype=np.int64)
         if out.any():
-            yield pa.RecordBatch.from_arrays([pa.array([out], pa.list_(pa.int64()))], names=["weights"])
+            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["ids"])
 
-    parts = rows.mapInArrow(total, "weights array<bigint>")
-    parts = parts.repartition(max(1, math.isqrt(chunks))).mapInArrow(total, "weights array<bigint>")
-    n, out = rows.count(), np.zeros(attention.SIZE, dtype=np.int64)
+    parts = rows.mapInArrow(total, "ids binary")
+    parts = parts.repartition(max(1, math.isqrt(chunks))).mapInArrow(total, "ids binary")
+    out = np.zeros(size, dtype=np.int64)
     for row in parts.toLocalIterator():  # one small array a task
-        out += np.array(row["weights"], dtype=np.int64)
-    return (out / (max(1, n) * UNIT)).astype(np.float32) if n else attention.pack(attention.initial())
+        out += np.frombuffer(row["ids"], dtype=np.int64)
+    return out
 
 
 def score(
@@ -209,16 +211,20 @@ def score(
     chunks = max(1, math.ceil((size or 0) / chunk_chars))
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
 
-    def read(batches: Iterator[pa.RecordBatch]) -> dict[int, list[tuple[bool, pa.Array, np.ndarray, list[bytes]]]]:
-        """Of each chunk: whether held out, words, texts' numbers of them, and hashes of the training texts."""
-        texts: dict[int, list[tuple[bool, pa.Array, np.ndarray, list[bytes]]]] = {}
+    def forget() -> None:
+        """Spark deletes shuffles of what is written by now when the driver's garbage is collected, but for those of its last job."""
+        docs.sparkSession.sparkContext._jvm.System.gc()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> dict[int, list[tuple[bool, pa.Array, np.ndarray, list[bytes], pa.RecordBatch]]]:
+        """Of each chunk: whether held out, words, texts' numbers of them, hashes of the texts, and the other columns."""
+        texts: dict[int, list[tuple[bool, pa.Array, np.ndarray, list[bytes], pa.RecordBatch]]] = {}
         for batch in batches:
             where, out = batch.column(3).to_numpy(), pc.fill_null(batch.column(1), False).to_numpy(zero_copy_only=False)
             for at in np.unique(where).tolist():
                 for held in (False, True):
-                    own = batch.column(2).filter(pa.array((where == at) & (out == held)))
-                    order = [] if held else [blake2b(t.as_buffer(), digest_size=16).digest() for t in own]
-                    texts.setdefault(at, []).append((held, *_split(own), order))
+                    own = batch.filter(pa.array((where == at) & (out == held)))
+                    order = [blake2b(t.as_buffer(), digest_size=16).digest() for t in own.column(2)]
+                    texts.setdefault(at, []).append((held, *_split(own.column(2)), order, own.select(["doc_id", "held_out"])))
         return texts
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,74 +237,88 @@ def score(
             words = coded.dictionary
             flat, width = sub(words)
             ids = _packed(flat, width, sub.kind)
-            per = np.concatenate([x[2] for x in parts if not x[0]])
+            train = sum(len(x[2]) for x in parts if not x[0])
+            per = np.concatenate([x[2] for x in parts])
             order = [x for part in parts for x in part[3]]
-            numbers = coded.indices.to_numpy()[: int(per.sum())]
+            docs = pa.Table.from_batches([x[4] for x in parts]).append_column("hash", pa.array(order, pa.binary()))
+            numbers = coded.indices.to_numpy()
             del parts, found, coded
+            place = pc.sort_indices(docs, [("doc_id", "ascending"), ("hash", "ascending")]).to_numpy().astype(np.int64)  # batches that no shuffle changes
+            docs = docs.take(place).combine_chunks()
+            for a, b in spans(per[place], 65536, 1 << 18):
+                some, (own, each) = docs.slice(a, b - a), _gather(numbers, per, place[a:b])
+                low, high = _packed(own & 0xFFFF, each, HALF), _packed(own >> 16, each, HALF)
+                yield _rows(at, a, n=some["doc_id"], ids=low, high=high, held=some["held_out"])
+            del docs, place
+            order, per = order[:train], per[:train]
+            numbers = numbers[: int(per.sum())]
             number = np.bincount(numbers, minlength=len(words))
+            seen = np.bincount(flat, weights=np.repeat(number, width), minlength=sub.end + 1).astype(np.int64)
+            number = pa.array(number, pa.int64())
             for a in range(0, len(words), 65536):
-                yield _row(at, words[a : a + 65536], number[a : a + 65536], ids[a : a + 65536], None)
-            del words, ids
+                yield _rows(at, a, words=words[a : a + 65536], n=number[a : a + 65536], ids=ids[a : a + 65536])
+            del words, ids, number
             pa.default_memory_pool().release_unused()
             numbers, per = _gather(numbers, per, np.array(sorted(range(len(order)), key=order.__getitem__), dtype=np.int64))  # an order that no shuffle changes
             ids, lengths = _all_spelled(numbers, per, flat, width, sub.end)
             del numbers, flat, width
             w = attention.train(attention.initial(), ids, lengths, sub.class_of, STEPS)
-            yield _row(at, pa.nulls(1, pa.binary()), [0], pa.nulls(1, pa.binary()), attention.pack(w))
-
-    def _row(at: int, words: pa.Array, number, ids: pa.Array, weights) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(words), at, dtype=np.int32)),
-                words.cast(pa.binary()),
-                pa.array(number, pa.int64()),
-                ids.cast(pa.binary()),
-                pa.array([weights] if weights is not None else [None] * len(words), pa.list_(pa.float32())),
-            ],
-            names=["chunk", "word", "n", "ids", "weights"],
-        )
+            total = np.concatenate((np.round(attention.pack(w).astype(np.float64) * UNIT).astype(np.int64), seen))
+            yield _rows(at, -1, n=pa.nulls(1, pa.int64()), ids=pa.array([total.tobytes()], pa.binary()))
+
+    def _rows(chunk: int, first: int, n, ids, words=None, high=None, held=None) -> pa.RecordBatch:
+        """Rows numbered from ``first``: of words (``n`` are their counts), of documents (``n`` are their ids, ``ids`` and ``high``
+        their words' numbers), or, as -1, the weights and counts of subwords."""
+        size = len(n)
+        column = lambda x, kind: pa.nulls(size, kind) if x is None else (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x).cast(kind)
+        columns = {
+            "chunk": pa.array(np.full(size, chunk, dtype=np.int32)),
+            "at": pa.array(np.arange(first, first + size, dtype=np.int32)),
+            "word": column(words, pa.binary()),
+            "n": column(n, pa.int64()),
+            "ids": column(ids, pa.binary()),
+            "high": column(high, pa.binary()),
+            "held_out": column(held, pa.bool_()),
+        }
+        return pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
     local = written(
-        dealt.repartitionById(chunks, F.col("chunk")).mapInArrow(count, "chunk int, word binary, n bigint, ids binary, weights array<float>"), "words"
+        dealt.repartitionById(chunks, F.col("chunk")).mapInArrow(count, "chunk int, at int, word binary, n bigint, ids binary, high binary, held_out boolean"),
+        "words",
     )
+    sub = subwords_of(path)
+    totals = local.where("at < 0").select("ids")
+    trained, totals = totals.count(), _sum(totals, chunks, attention.SIZE + sub.end + 1)
+    weights = (totals[: attention.SIZE] / (trained * UNIT)).astype(np.float32) if trained else attention.pack(attention.initial())
+    forget()
     same = Window.partitionBy("word")
     counted = written(
-        local.where("word is not null").select("chunk", "word", "ids", F.sum("n").over(same).alias("c"), (F.col("chunk") == F.min("chunk").over(same)).alias("once")),
+        local.where("word is not null").select("chunk", "at", "ids", F.sum("n").over(same).alias("c"), (F.col("chunk") == F.min("chunk").over(same)).alias("once")),
         "counts",
     )
     n, v = counted.where("once and c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n, v = n + n_train, v + (n_train > 0)
-
-    def subword_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sub = subwords_of(path)
-        total = np.zeros(sub.end + 1, dtype=np.int64)
-        for batch in batches:
-            flat, sizes = _unpacked(batch.column(0), sub.kind)
-            total += np.bincount(flat, weights=np.repeat(batch.column(1).to_numpy(), sizes), minlength=len(total)).astype(np.int64)
-        there = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], names=["id", "n"])
-
-    found = counted.where("once and c > 0").select("ids", "c").mapInArrow(subword_counts, "id bigint, n bigint")
-    sub = subwords_of(path)
+    forget()
     seen = np.zeros(sub.end + 2)
-    for row in found.groupBy("id").agg(F.sum("n").alias("n")).collect():  # at most the vocabulary
-        seen[row["id"]] = row["n"]
+    seen[: sub.end + 1] = totals[attention.SIZE :]
     seen[sub.end] = n_train
     per_class = np.bincount(sub.class_of, weights=seen + 0.05, minlength=attention.CLASSES + 1)
     within = np.log((seen + 0.05) / per_class[sub.class_of])
-    weights = _mean(local.where("weights is not null").select("weights"), chunks)
     scale = n + 0.1 * (v + 1)
 
     def scored(docs: pa.Table, words: pa.Table) -> pa.Table:
-        docs = docs.sort_by([("doc_id", "ascending"), ("text", "ascending")])  # batches that no shuffle changes
+        docs = docs.sort_by("at")
         sub = subwords_of(path)
         scorer = attention.Scorer(attention.unpack(weights), sub.class_of, within)
         c = words["c"].to_numpy().astype(np.float64)
-        found, per = _split(docs["text"].combine_chunks())
-        at = _places(found, words["word"].combine_chunks())
+        where = np.empty(len(c), dtype=np.int32)
+        where[words["at"].to_numpy()] = np.arange(len(c))  # every number has its word
+        numbers, per = _unpacked(docs["ids"].combine_chunks(), HALF)
+        numbers |= _unpacked(docs["high"].combine_chunks(), HALF)[0] << 16
+        at = where[numbers]
         flat, width = _unpacked(words["ids"].combine_chunks(), sub.kind)
-        docs = docs.drop_columns("text")
-        del found
+        docs = docs.drop_columns(["ids", "high"])
+        del numbers
         pa.default_memory_pool().release_unused()
         word_score = np.log10((c + 0.1) / scale)
         known = c > 0
@@ -314,7 +334,7 @@ def score(
         column = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)
         return pa.table(
             {
-                "doc_id": docs["doc_id"],
+                "doc_id": docs["n"],
                 "held_out": docs["held_out"],
                 "n_tokens": pa.array(per + 1, pa.int64()),
                 "n_known": column(knowns, pa.int64()),
@@ -326,9 +346,9 @@ def score(
 
     # A partition per chunk on both sides: no two chunks ever fall together in one task.
     return (
-        dealt.repartitionById(chunks, F.col("chunk"))
+        local.where("high is not null").select("chunk", "at", "n", "ids", "high", "held_out").repartitionById(chunks, F.col("chunk"))
         .groupBy("chunk")
-        .cogroup(counted.select("chunk", "word", "ids", "c").repartitionById(chunks, F.col("chunk")).groupBy("chunk"))
+        .cogroup(counted.select("chunk", "at", "ids", "c").repartitionById(chunks, F.col("chunk")).groupBy("chunk"))
         .applyInArrow(
             scored,
             "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",

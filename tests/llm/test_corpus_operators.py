@@ -209,6 +209,34 @@ def test_subwords_of_odd_words():
     assert flat.tolist() == sum(alone, []) and sizes.tolist() == list(map(len, alone))
 
 
+def test_texts_are_not_read_again_for_scores(docs):
+    """Scoring reads the numbers of words that counting wrote; before, it read, split and looked up all texts once more."""
+    got = lmscore.score(docs, remainder(F.col("doc_id"), 10) == 0)
+    assert got.inputFiles() and not [f for f in got.inputFiles() if "documents" in f]
+
+
+def test_numbers_of_words_beyond_two_bytes(spark):
+    words = [f"w{i}" for i in range(70_000)]
+    rows = spark.createDataFrame([(2, " ".join(words)), (1, "w69999 w69999 new"), (None, "w5")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lmscore.score(rows, F.col("text").contains("new")).collect()}
+    scale = 70_003 + 0.1 * 70_002
+    assert {i: (r["held_out"], r["n_tokens"], r["n_known"]) for i, r in got.items()} == {2: (False, 70_001, 70_001), 1: (True, 4, 3), None: (False, 2, 2)}
+    assert got[1]["base_score"] == pytest.approx(sum(math.log10((c + 0.1) / scale) for c in (1, 1, 0, 2)))
+    assert got[None]["base_score"] == pytest.approx(sum(math.log10((c + 0.1) / scale) for c in (2, 2)))
+
+
+def test_scores_of_any_logits():
+    """Where exponentials could leave the range, the largest logit is taken off first."""
+    ids, sizes = np.random.default_rng(0).integers(0, 50_000, 500), np.array([100, 400])
+    class_of = lmscore.subwords_of(public_tokenizers.path("byte_bpe_50k.tiktoken")).class_of
+    w = attention.initial()
+    one, two = (attention.Scorer(w, class_of, np.zeros(len(class_of))) for _ in range(2))
+    two.small = False
+    assert one.small and one(ids, sizes) == pytest.approx(two(ids, sizes), rel=1e-6)
+    large = attention.Scorer(w | {"c": w["c"] + np.float32(200)}, class_of, np.zeros(len(class_of)))
+    assert not large.small and large(ids, sizes) == pytest.approx(two(ids, sizes), rel=1e-4)
+
+
 # --- near duplicates --------------------------------------------------------------------------
 
 
