@@ -181,7 +181,7 @@ def q25_hedge_confidence(spark, sf_dir):
 def q26_chunks(spark, sf_dir):
     d = load(spark, sf_dir, "documents").select("doc_id", text.chunks(F.replace("text", F.lit("\n"), F.lit("\n\n")), 2000).alias("c"))
     # Without the joints that packing put between paragraphs; a text that fits is left as it is.
-    exploded = d.select("doc_id", F.size("c").alias("n"), F.explode("c").alias("c"))
+    exploded = d.select("doc_id", F.size("c").alias("n"), F.explode_outer("c").alias("c")).where("c is not null")
     body = F.when(F.col("n") == 1, F.length("c")).otherwise(F.length(F.replace("c", F.lit("\n\n"), F.lit(""))))
     return exploded.groupBy("doc_id").agg(F.sum(body.cast("bigint")).alias("chars"), F.bool_and(F.length("c") <= 2000).alias("fits"))
 
