@@ -60,9 +60,9 @@ def ladder(raw) -> Column:
 
 
 def extraction_json(raw) -> Column:
-    """The ladder with salvage as its last step (the only one that leaves the JVM)."""
+    """The ladder with salvage as its last step (the only one that leaves the JVM, with what the ladder can't read)."""
     x = F.col(raw) if isinstance(raw, str) else raw
-    return F.coalesce(ladder(x), salvaged(x))
+    return F.coalesce(ladder(x), salvaged(F.when(ladder(x).isNull(), x)))
 
 
 def partial_verdict(raw) -> Column:
