@@ -39,6 +39,8 @@ class Extraction:
 SCALARS = (
     "name description pattern pattern_type identity_class primary_motivation sophistication is_family valid_from".split()
 )
+#: Bytes of a bundle's text up to which its objects are compared within its row.
+LONG_BUNDLE = 1 << 20
 LISTS = "labels aliases malware_types tool_types kill_chain_phases external_references sectors secondary_motivations".split()
 
 
@@ -268,12 +270,19 @@ def search_iocs(crawl_state: DataFrame, bundle_texts: DataFrame, ioc: str, tlp_m
 
 
 def validate_bundle(texts: DataFrame, strict: bool = False, known_identities: DataFrame | None = None, extra: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Findings for bundles (path, value); ``extra`` may add those of an external rule set."""
-    heads, nodes, edges = documents.load_bundles(texts)
+    """Findings for bundles (path, value), each path one bundle; ``extra`` may add those of an external rule set.
+
+    Bundles are checked within their rows; texts beyond ``LONG_BUNDLE`` bytes, if there are any, by joins.
+    """
     spark = texts.sparkSession
-    found = [integrity.check_bundle(heads, nodes, edges), integrity.check_attribution(nodes, edges, graph.triples(spark, vocab.ATTRIBUTION))]
-    if known_identities is not None:
-        found.append(integrity.check_identity_refs(nodes, known_identities))
+    long = F.coalesce(F.octet_length("value") > LONG_BUNDLE, F.lit(False))
+    found = [integrity.check_texts(texts.where(~long), vocab.ATTRIBUTION, known_identities)]
+    large = texts.where(long)
+    if not large.isEmpty():
+        heads, nodes, edges = documents.load_bundles(large)
+        found += [integrity.check_bundle(heads, nodes, edges), integrity.check_attribution(nodes, edges, graph.triples(spark, vocab.ATTRIBUTION))]
+        if known_identities is not None:
+            found.append(integrity.check_identity_refs(nodes, known_identities))
     if extra is not None:
         found.append(extra(texts))
     out = integrity.union(found)

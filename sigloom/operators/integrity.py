@@ -259,6 +259,81 @@ def check_bundle(heads: DataFrame, nodes: DataFrame, edges: DataFrame) -> DataFr
     )
 
 
+def check_texts(raw: DataFrame, allowed: list[tuple[str, str, str]], known: DataFrame | None = None, value: str = "value") -> DataFrame:
+    """:func:`check_bundle`, :func:`check_attribution` and, with ``known``, :func:`check_identity_refs` of bundles from their JSON texts, each within its row.
+
+    A text is parsed once and nothing is shuffled: ends meet nodes within the bundle. Work may be
+    quadratic in the objects of one bundle, so very long texts are left to the joins.
+    """
+    get = lambda o, name, kind="string": F.try_variant_get(o, f"$.{name}", kind)
+    phases = lambda o: F.from_json(F.to_json(get(o, "kill_chain_phases", "variant")), "array<struct<kill_chain_name:string,phase_name:string>>")
+    names = ("id", "type", "identity_id", "relationship_type", "source_ref", "target_ref")
+    one = lambda o, i: F.struct(i.cast("string").alias("pos"), *(get(o, n).alias(n) for n in names), phases(o).alias("phases"))
+    parsed = raw.select(F.try_parse_json(value).alias("v")).select(get("v", "type").alias("type"), F.transform(get("v", "objects", "array<variant>"), one).alias("os"))
+    split = parsed.select(
+        "type",
+        F.filter("os", lambda o: o["type"] != "relationship").alias("nodes"),
+        F.filter("os", lambda o: o["type"] == "relationship").alias("edges"),
+        F.array_sort(F.transform(F.filter("os", lambda o: o["type"].isNotNull()), lambda o: o["id"])).alias("ids"),
+    )
+    ends = lambda o: F.array(*(F.struct(F.concat(F.lit("objects["), o["pos"], F.lit(f"].{f}")).alias("at"), F.lit(f).alias("field"), o[f].alias("ref")) for f in ("source_ref", "target_ref")))
+    typed = lambda nodes, ref: F.coalesce(F.array_min(F.transform(F.filter(nodes, lambda n: n["id"] == ref), lambda n: n["type"])), F.split_part(ref, F.lit("--"), F.lit(1)))
+    ready = split.select(
+        "type",
+        "nodes",
+        "ids",
+        F.flatten(F.transform("edges", ends)).alias("ends"),
+        F.transform(
+            F.filter("edges", lambda e: e["relationship_type"].isin("attributed-to", "impersonates")),
+            lambda e: F.struct(e["id"].alias("id"), typed(F.col("nodes"), e["source_ref"]).alias("s"), e["relationship_type"].alias("r"), typed(F.col("nodes"), e["target_ref"]).alias("t")),
+        ).alias("told"),
+    )
+    ready = ready.withColumn("lost", F.array_except(F.filter(F.transform("ends", lambda e: e["ref"]), lambda r: r != ""), F.transform("nodes", lambda n: n["id"])))
+    none = F.lit(None).cast("string")
+    hit = lambda severity, code, location, message, ref=none: F.struct(
+        F.lit(severity).alias("severity"), F.lit(code).alias("code"), location.alias("location"), message.alias("message"), ref.alias("_ref")
+    )
+    before = lambda i, k: F.get("ids", i - k)
+    twice = F.filter("ids", lambda x, i: (i > 0) & x.eqNullSafe(before(i, 1)) & ((i < 2) | ~x.eqNullSafe(before(i, 2))))
+    fits = lambda e: F.coalesce(reduce(lambda a, b: a | b, ((e["s"] == s) & (e["r"] == r) & (e["t"] == t) for s, r, t in allowed)), F.lit(False))
+    chained = F.flatten(
+        F.transform(
+            "nodes",
+            lambda n: F.coalesce(
+                F.filter(
+                    F.transform(n["phases"], lambda p, j: F.when(~p["kill_chain_name"].eqNullSafe(F.lit("mitre-attack")), F.concat(F.lit("objects["), n["pos"], F.lit("].kill_chain_phases["), j.cast("string"), F.lit("].kill_chain_name")))),
+                    lambda x: x.isNotNull(),
+                ),
+                F.array().cast("array<string>"),
+            ),
+        )
+    )
+    hits = [
+        F.when(~F.col("type").eqNullSafe(F.lit("bundle")), F.array(hit("error", "BUNDLE_TYPE", F.lit("bundle.type"), F.lit("not a bundle")))),
+        F.transform(twice, lambda x: hit("error", "STIX_ID_NOT_UNIQUE", F.concat(F.lit("objects[*].id="), x), F.lit("id occurs twice or more"))),
+        F.transform(F.filter("ends", lambda e: e["ref"].isNull() | (e["ref"] == "")), lambda e: hit("error", "REL_REF_MISSING", e["at"], F.concat(e["field"], F.lit(" is missing")))),
+        F.transform(F.filter("ends", lambda e: F.array_contains("lost", e["ref"])), lambda e: hit("error", "REL_REF_UNRESOLVED", e["at"], F.concat(e["field"], F.lit(" "), e["ref"], F.lit(" is not in the bundle")))),
+        F.transform(chained, lambda at_: hit("error", "KILL_CHAIN_NAME", at_, F.lit("expected mitre-attack"))),
+        F.transform(
+            F.filter("told", lambda e: ~fits(e)),
+            lambda e: hit("error", "RELATIONSHIP_TYPE_MATCH", F.concat(F.lit("relationship id="), F.coalesce(e["id"], F.lit("?"))), F.concat(F.concat_ws(" ", e["s"], e["r"], e["t"]), F.lit(" is not allowed"))),
+        ),
+    ]
+    if known is not None:
+        internal = F.filter("nodes", lambda n: (n["type"] == vocab.IDENTITY_NODE) & n["identity_id"].isNotNull())
+        lost = lambda n: F.concat(F.lit("identity_id "), n["identity_id"], F.lit(" does not resolve"))
+        hits.append(F.transform(internal, lambda n: hit("warning", "IDENTITY_REF_RESOLUTION", F.concat(F.lit(f"{vocab.IDENTITY_NODE} id="), n["id"]), lost(n), n["identity_id"])))
+    every = F.concat(*(F.coalesce(h, F.array().cast("array<struct<severity:string,code:string,location:string,message:string,_ref:string>>")) for h in hits))
+    # An outer one: for a plain one Spark infers a filter that computes all of this twice.
+    found = ready.select(F.inline_outer(every)).where("code is not null")
+    if known is not None:
+        # Findings that wait for no identity have keys of their own, so that they neither match nor meet.
+        key = F.struct(F.col("_ref").isNull().alias("own"), F.coalesce("_ref", "location").alias("id"))
+        ids = known.where("id is not null").select(F.struct(F.lit(False).alias("own"), F.col("id").cast("string").alias("id")).alias("_key")).distinct()
+        found = found.withColumn("_key", key).join(small(ids), "_key", "left_anti")
+    return found.select("severity", "code", "location", "message")
+
+
 def strict(findings: DataFrame) -> DataFrame:
     """Warnings promoted to errors."""
     return findings.withColumn("severity", F.when(F.col("severity") == "warning", "error").otherwise(F.col("severity")))
