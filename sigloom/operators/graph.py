@@ -13,9 +13,11 @@ from .. import vocab
 from ..functions import pattern as grammar
 from ..functions import scalar, text
 from . import state
-from .relational import first_of, small
+from .relational import first_of, is_small, small
 
 _NONE = "array<string>"
+#: Groups of a taxonomy that are looked up within each row; more are joined.
+FEW_GROUPS = 1000
 
 
 def triples(spark, rows=vocab.TRIPLES) -> DataFrame:
@@ -307,12 +309,47 @@ def _labelled(objects: pd.Series, labels: pd.Series) -> pd.Series:
     return pd.Series([json.dumps({**json.loads(o), "labels": list(tags)}, ensure_ascii=False) for o, tags in zip(objects, labels)], dtype=object)
 
 
+def _rebuilt(objects: Column) -> Column:
+    """The JSON text of a bundle ``v`` with other objects, which are JSON texts."""
+    keys = F.map_from_entries(F.filter(F.map_entries(F.from_json(F.to_json("v"), "map<string,variant>")), lambda e: e["key"] != "objects"))
+    rest = F.to_json(keys)
+    return F.concat(
+        F.when(F.length(rest) > 2, F.concat(F.substring(rest, F.lit(1), F.length(rest) - 1), F.lit(","))).otherwise("{"), F.lit('"objects":['), F.array_join(objects, ","), F.lit("]}")
+    )
+
+
+def _enriched_rows(texts: DataFrame, tags: dict[str, list[str]], path: str, value: str) -> DataFrame:
+    """:func:`enriched_bundles` by few groups, each text within its row."""
+    table = F.from_json(F.lit(json.dumps(tags)), f"map<string,{_NONE}>")
+    none = F.array().cast(_NONE)
+    get = lambda o, name, kind="string": F.try_variant_get(o, f"$.{name}", kind)
+    named = lambda o: F.concat(F.array(get(o, "name")), F.coalesce(get(o, "aliases", _NONE), none))
+    found = lambda o: F.flatten(F.transform(named(o), lambda n: F.coalesce(F.try_element_at(table, text.normal_name(n)), none)))
+    acts = lambda o: F.coalesce(get(o, "type").isin("threat-actor", "intrusion-set") & get(o, "name").isNotNull(), F.lit(False))
+    parsed = texts.select(F.col(path).alias("path"), F.col(value).alias("value"), F.try_parse_json(value).alias("v"))
+    listed = parsed.withColumn("os", F.transform(get("v", "objects", "array<variant>"), lambda o: F.struct(o.alias("o"), F.coalesce(get(o, "labels", _NONE), none).alias("l"), F.when(acts(o), found(o)).alias("t"))))
+    more = lambda o: F.size(F.array_except(o["t"], o["l"])) > 0
+    counted = listed.withColumn("n", F.coalesce(F.size(F.filter("os", more)), F.lit(0)))
+
+    def labelled(o: Column) -> Column:
+        labels = F.parse_json(F.to_json(F.array_union(o["l"], o["t"])))
+        own = F.map_filter(F.from_json(F.to_json(o["o"]), "map<string,variant>"), lambda k, _: k != "labels")
+        return F.to_json(F.map_concat(own, F.create_map(F.lit("labels"), labels)))
+
+    objects = F.transform("os", lambda o: F.when(more(o), labelled(o)).otherwise(F.to_json(o["o"])))
+    n = F.greatest(F.col("n"), F.lit(0))  # -1 is the size of no list in old sessions
+    return counted.select("path", F.when(n > 0, _rebuilt(objects)).otherwise(F.col("value")).alias("value"), n.cast("bigint").alias("n_enriched"))
+
+
 def enriched_bundles(texts: DataFrame, index: DataFrame, path: str = "path", value: str = "value") -> DataFrame:
     """(path, value, n_enriched): bundles whose actors carry the tags of the groups that they name.
 
     Only objects that gain a tag are rewritten; the others, and their order, stay. A text that isn't
-    a bundle comes back as it is.
+    a bundle comes back as it is. Few groups are looked up within each row, without a shuffle.
     """
+    groups = index.where("group_norm is not null")
+    if is_small(groups, FEW_GROUPS):
+        return _enriched_rows(texts, {r["group_norm"]: r["tags"] for r in groups.collect()}, path, value)
     parsed = texts.select(F.col(path).alias("path"), F.col(value).alias("value"), F.try_parse_json(value).alias("v"))
     objects = parsed.select("path", F.posexplode(F.try_variant_get("v", "$.objects", "array<variant>")).alias("pos", "o"))
     many = "array<string>"
@@ -331,14 +368,7 @@ def enriched_bundles(texts: DataFrame, index: DataFrame, path: str = "path", val
     changed = gained.select("path", "pos", _labelled("json", "labels").alias("json"), F.lit(1).alias("n"))
     kept = objects.select("path", "pos", "json", F.lit(0).alias("n")).join(changed.select("path", "pos"), ["path", "pos"], "left_anti")
     listed = kept.unionByName(changed).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("pos", "json"))).alias("os"), F.sum("n").alias("n"))
-    keys = F.map_from_entries(F.filter(F.map_entries(F.from_json(F.to_json("v"), "map<string,variant>")), lambda e: e["key"] != "objects"))
-    rest = F.to_json(keys)
-    rebuilt = F.concat(
-        F.when(F.length(rest) > 2, F.concat(F.substring(rest, F.lit(1), F.length(rest) - 1), F.lit(","))).otherwise("{"),
-        F.lit('"objects":['),
-        F.array_join(F.transform("os", lambda o: o["json"]), ","),
-        F.lit("]}"),
-    )
+    rebuilt = _rebuilt(F.transform("os", lambda o: o["json"]))
     return parsed.join(listed, "path", "left").select(
         "path", F.when(F.col("n") > 0, rebuilt).otherwise(F.col("value")).alias("value"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n_enriched")
     )
